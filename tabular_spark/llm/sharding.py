@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from tabular_spark.llm.common import text_of
 
 #: Bytes of text that a bucket holds on average.
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES = 4 << 20
 #: So many bucket offsets (16 bytes each) are broadcast at most; with more, they are joined by a shuffle.
 BROADCAST_BUCKETS = 1 << 20
 
