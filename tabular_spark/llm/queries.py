@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabular_spark.llm import exact_dedup, sharding
+from tabular_spark.llm import bpe, exact_dedup, mixing, sharding
 from tabular_spark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_sharding": lambda spark, sf: sharding.op2(table(spark, sf, "documents")),
+    "op5_bpe": lambda spark, sf: bpe.op5(table(spark, sf, "documents")),
     "op8_exact_dedup": lambda spark, sf: exact_dedup.exact_dedup(table(spark, sf, "documents")),
+    "op10_mixing": lambda spark, sf: mixing.op10(table(spark, sf, "documents")),
 }
 
 ORACLES: dict[str, str] = {
