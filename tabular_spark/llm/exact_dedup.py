@@ -60,9 +60,9 @@ def groups(slim: DataFrame, counters: int = COUNTERS) -> DataFrame:
     """``slim`` of ``digests``, stored, with keep_id, keep_row and group_size."""
     candidates = stored(misra_gries(slim.select("digest"), counters), "heavy-candidates")
     best = [F.count("*").alias("group_size"), F.max(F.struct("doc_id", "row")).alias("best")]
-    threshold = slim.agg(F.floor(3 * F.count("*") / (counters + 1)).alias("least"))
+    least = 3 * slim.count() // (counters + 1)
     exact = slim.join(F.broadcast(candidates), "digest").groupBy("digest").agg(*best)
-    winners = stored(exact.join(F.broadcast(threshold), F.col("group_size") > F.col("least")).drop("least"), "heavy-winners")
+    winners = stored(exact.where(F.col("group_size") > least), "heavy-winners")
     heavy = slim.join(F.broadcast(winners), "digest")
     light = slim.join(F.broadcast(winners.select("digest")), "digest", "left_anti")
     rest = light.join(light.groupBy("digest").agg(*best), "digest")
