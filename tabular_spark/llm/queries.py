@@ -6,18 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabular_spark.llm import bpe, exact_dedup, fingerprints, mixing, sharding
+from tabular_spark.llm import bpe, exact_dedup, fingerprints, licenses, mixing, secrets, sharding
 from tabular_spark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_sharding": lambda spark, sf: sharding.op2(table(spark, sf, "documents")),
+    "op3_secrets": lambda spark, sf: secrets.op3(table(spark, sf, "documents")),
     "op5_bpe": lambda spark, sf: bpe.op5(table(spark, sf, "documents")),
     "op6_fingerprints": lambda spark, sf: fingerprints.op6(table(spark, sf, "documents")),
+    "op7_licenses": lambda spark, sf: licenses.licenses(table(spark, sf, "documents")),
     "op8_exact_dedup": lambda spark, sf: exact_dedup.exact_dedup(table(spark, sf, "documents")),
     "op10_mixing": lambda spark, sf: mixing.op10(table(spark, sf, "documents")),
 }
 
 ORACLES: dict[str, str] = {
+    "op7_licenses": licenses.oracle(),
     "op8_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
                doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
