@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabular_spark.llm import bpe, exact_dedup, fingerprints, licenses, mixing, secrets, sharding
+from tabular_spark.llm import bpe, exact_dedup, fingerprints, licenses, mixing, quality, secrets, sharding
 from tabular_spark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -16,6 +16,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_fingerprints": lambda spark, sf: fingerprints.op6(table(spark, sf, "documents")),
     "op7_licenses": lambda spark, sf: licenses.licenses(table(spark, sf, "documents")),
     "op8_exact_dedup": lambda spark, sf: exact_dedup.exact_dedup(table(spark, sf, "documents")),
+    "op9_quality": lambda spark, sf: quality.op9(table(spark, sf, "documents"), table(spark, sf, "labels")),
     "op10_mixing": lambda spark, sf: mixing.op10(table(spark, sf, "documents")),
 }
 
