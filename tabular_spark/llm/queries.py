@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabular_spark.llm import bpe, exact_dedup, fingerprints, licenses, mixing, quality, secrets, sharding, similarity_join
+from tabular_spark.llm import bpe, exact_dedup, fingerprints, html_wrappers, licenses, mixing, quality, secrets, sharding, similarity_join
 from tabular_spark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jaccard_join": lambda spark, sf: similarity_join.op1(table(spark, sf, "documents")),
     "op2_sharding": lambda spark, sf: sharding.op2(table(spark, sf, "documents")),
     "op3_secrets": lambda spark, sf: secrets.op3(table(spark, sf, "documents")),
+    "op4_html": lambda spark, sf: html_wrappers.op4(table(spark, sf, "pages")),
     "op5_bpe": lambda spark, sf: bpe.op5(table(spark, sf, "documents")),
     "op6_fingerprints": lambda spark, sf: fingerprints.op6(table(spark, sf, "documents")),
     "op7_licenses": lambda spark, sf: licenses.licenses(table(spark, sf, "documents")),
