@@ -21,6 +21,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 from typing import Any
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -261,8 +262,6 @@ def scored(docs: DataFrame, labels: DataFrame, label_col: str = "quality") -> Da
 
 def accepted(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that reach the threshold, all columns kept; only texts go through Python."""
-    import pandas as pd
-
     model = trained(featured(docs, text_col=text_col), labels)
 
     @F.pandas_udf("double")
