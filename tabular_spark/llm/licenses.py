@@ -35,28 +35,50 @@ KNOWN = (
     ("MIT", "Licensed under the MIT License."),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."),
 )
-# Spellings that count as one (pattern, what it becomes).
+# Spellings that count as one, in canonical form (what is written, what it becomes).
 SPELLINGS = (
     ("licence", "license"),
-    ("sub[- ]license", "sublicense"),
-    ("non[- ]?commercial", "noncommercial"),
-    ("non[- ]infringement", "noninfringement"),
+    ("sub license", "sublicense"),
+    ("non commercial", "noncommercial"),
+    ("non infringement", "noninfringement"),
     ("acknowledgement", "acknowledgment"),
     ("copyright owner", "copyright holder"),
-    ("https://", "http://"),
+    ("https", "http"),
     ("per cent", "percent"),
 )
 #: A line that names who holds the copyright, and since when.
 COPYRIGHT_LINE = r"(?m)^[^a-z0-9\n]*(copyright|\(c\)|©)[^\n]*(19|20)[0-9][0-9][^\n]*$"
-PUNCTUATION = r"[^\p{L}\p{N}]+"
-BLANK_LINE = r"\n[\x20\t\r]*\n"
+#: All but letters, digits and the ends of lines; what stands around the end of a line.
+PUNCTUATION, LINE_END = r"[^\p{L}\p{N}\n]+", r" ?\n ?"
+#: Every known text holds one of these in canonical form, so a text or unit without them can't be one.
+MARKS = ("licen", "permission")
+#: Ends of lines between two blocks; any number of them.
+BETWEEN_BLOCKS, LINE_ENDS = r"\n\n+", r"\n+"
 
 
-def canonical(text: Column) -> Column:
+def marked(text: Column) -> Column:
+    found = F.contains(text, F.lit(MARKS[0]))
+    for mark in MARKS[1:]:
+        found |= F.contains(text, F.lit(mark))
+    return found
+
+
+def plain_lines(text: Column) -> Column:
+    """Lower case, without copyright lines and punctuation; lines stay apart."""
     out = F.regexp_replace(F.lower(text), COPYRIGHT_LINE, "")
-    for pattern, becomes in SPELLINGS:
-        out = F.regexp_replace(out, pattern, becomes)
-    return F.trim(F.regexp_replace(out, PUNCTUATION, " "))
+    return F.regexp_replace(F.regexp_replace(out, PUNCTUATION, " "), LINE_END, "\n")
+
+
+def one_line(lines: Column) -> Column:
+    """The canonical form of a text, block or line of ``plain_lines``."""
+    out = F.trim(F.regexp_replace(lines, LINE_ENDS, " "))
+    for written, becomes in SPELLINGS:
+        out = F.replace(out, F.lit(written), F.lit(becomes))
+    return out
+
+
+def canonical(text: Column) -> Column:
+    return one_line(plain_lines(text))
 
 
 def known(spark: SparkSession) -> DataFrame:
@@ -65,15 +87,16 @@ def known(spark: SparkSession) -> DataFrame:
 
 
 def units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, hash, unit, part): the whole text, its blocks and its lines; ``unit`` numbers them."""
+    """(doc_id, hash, unit, part): the whole text, its blocks and its lines, still as ``plain_lines``, where they hold one of ``MARKS``; ``unit`` numbers them."""
     text = text_of(text_col)
-    parts = F.concat(F.array(text), F.split(text, BLANK_LINE), F.split(text, "\n"))
-    return docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("hash"), F.posexplode(parts).alias("unit", "part"))
+    lines = docs.where(marked(F.lower(text))).select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("hash"), plain_lines(text).alias("lines"))
+    parts = F.concat(F.array("lines"), F.split("lines", BETWEEN_BLOCKS), F.split("lines", LINE_ENDS))
+    return lines.select("doc_id", "hash", F.posexplode(parts).alias("unit", "part")).where(marked(F.col("part")))
 
 
 def hits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, hash, unit, license) of the units that are a known license."""
-    digest = F.sha2(canonical(F.col("part")), 256)
+    digest = F.sha2(one_line(F.col("part")), 256)
     found = units(docs, id_col, text_col).select("doc_id", "hash", "unit", digest.alias("digest"))
     return found.join(F.broadcast(known(docs.sparkSession)), "digest").drop("digest")
 
@@ -92,21 +115,24 @@ def oracle() -> str:
     def quoted(x: str) -> str:
         return "'" + x.replace("'", "''") + "'"
 
-    def form(x: str) -> str:
+    def lines(x: str) -> str:
         x = f"regexp_replace(lower({x}), {quoted(COPYRIGHT_LINE)}, '', 'g')"
-        for pattern, becomes in SPELLINGS:
-            x = f"regexp_replace({x}, {quoted(pattern)}, {quoted(becomes)}, 'g')"
-        return f"trim(regexp_replace({x}, {quoted(PUNCTUATION)}, ' ', 'g'))"
+        return f"regexp_replace(regexp_replace({x}, {quoted(PUNCTUATION)}, ' ', 'g'), {quoted(LINE_END)}, chr(10), 'g')"
+
+    def line(x: str) -> str:
+        x = f"trim(regexp_replace({x}, {quoted(LINE_ENDS)}, ' ', 'g'), ' ')"
+        for written, becomes in SPELLINGS:
+            x = f"replace({x}, {quoted(written)}, {quoted(becomes)})"
+        return x
 
     values = ", ".join(f"({quoted(a)}, {quoted(b)})" for a, b in KNOWN)
-    blank = quoted(BLANK_LINE.replace(r"\n", "\n"))
     return f"""
-        WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
-        k AS (SELECT DISTINCT license, {form("t")} AS form FROM (VALUES {values}) AS v(license, t)),
-        u AS (SELECT doc_id, true AS whole, text AS part FROM d
-              UNION ALL SELECT doc_id, false, unnest(regexp_split_to_array(text, {blank})) FROM d
-              UNION ALL SELECT doc_id, false, unnest(string_split(text, chr(10))) FROM d),
+        WITH d AS (SELECT doc_id, {lines("coalesce(text, '')")} AS lines FROM documents),
+        k AS (SELECT DISTINCT license, {line(lines("t"))} AS form FROM (VALUES {values}) AS v(license, t)),
+        u AS (SELECT doc_id, true AS whole, lines AS part FROM d
+              UNION ALL SELECT doc_id, false, unnest(regexp_split_to_array(lines, {quoted(BETWEEN_BLOCKS)})) FROM d
+              UNION ALL SELECT doc_id, false, unnest(regexp_split_to_array(lines, {quoted(LINE_ENDS)})) FROM d),
         h AS (SELECT doc_id, bool_or(whole) AS whole, string_agg(DISTINCT license, ',' ORDER BY license) AS licenses
-              FROM (SELECT doc_id, whole, {form("part")} AS form FROM u) JOIN k USING (form) GROUP BY doc_id)
+              FROM (SELECT doc_id, whole, {line("part")} AS form FROM u) JOIN k USING (form) GROUP BY doc_id)
         SELECT d.doc_id, coalesce(h.whole, false) AS is_license, coalesce(h.licenses, '') AS licenses FROM d LEFT JOIN h USING (doc_id)
     """
