@@ -28,7 +28,7 @@ def fit_ridge(df: DataFrame, columns: list[str], label: str, alpha: float) -> Pi
 
     MLlib divides the loss by the number of rows and by the label's deviation; the penalty is given to match.
     """
-    n, deviation = df.where(F.col(label).isNotNull()).agg(F.count("*"), F.stddev_samp(label)).first()
+    n, deviation = df.where(F.col(label).isNotNull()).agg(F.count("*"), F.stddev_pop(label)).first()
     return fit_columns(df, columns, label, elasticNetParam=0.0, standardization=False, regParam=alpha * deviation / n)
 
 

@@ -9,6 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Nulls are written as \\N, so that empty texts stay empty texts; a text of just that reads as null.
+CSV = {"header": True, "nullValue": "\\N", "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     """A new folder in the store that driver and executors share: the checkpoint folder, or else the warehouse."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
@@ -42,13 +46,12 @@ def history(spark: SparkSession, base: str, *measures: Column) -> DataFrame:
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """CSV with a header; quotes are doubled, so that commas, quotes and line breaks inside of fields survive."""
-    df.write.mode(mode).option("header", True).option("escape", '"').option("quoteAll", True).option("emptyValue", "").csv(path)
+    df.write.mode(mode).options(**CSV).csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, ddl: str, multi_line: bool) -> DataFrame:
     """``multi_line`` allows line breaks in fields, at the price of one task per file."""
-    options = {"header": True, "escape": '"', "multiLine": multi_line, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "lineSep": None}
-    return spark.read.schema(ddl).options(**{k: v for k, v in options.items() if v is not None}).csv(path)
+    return spark.read.schema(ddl).options(**CSV, multiLine=multi_line).csv(path)
 
 
 def save_model(model: PipelineModel, path: str, example: DataFrame | None = None, rows: int = 5) -> None:
