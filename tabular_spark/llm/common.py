@@ -46,6 +46,11 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def as_record(docs: DataFrame, **keys: Column) -> DataFrame:
+    """``docs`` in one struct, ``record``, beside ``keys``, so that no column's name can clash with theirs."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("record"), *[c.alias(name) for name, c in keys.items()])
+
+
 def ranked(df: DataFrame, *order: Column, rank: str = "rank") -> DataFrame:
     """Adds the position of each row in ``order``, from 0, without bringing all rows to one task.
 

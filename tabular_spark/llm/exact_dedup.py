@@ -17,7 +17,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabular_spark.llm.common import stored, text_of
+from tabular_spark.llm.common import as_record, stored, text_of
 
 #: Misra-Gries counters. A text held by more than 3/1001 of all rows is always found.
 COUNTERS = 1000
@@ -86,14 +86,12 @@ def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     drop = found.where(~F.col("doc_id").eqNullSafe(F.col("keep_id"))).select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest")).distinct()
     again = found.where(F.col("doc_id").eqNullSafe(F.col("keep_id"))).groupBy(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest")).count().where("count > 1").drop("count")
 
-    def keyed(df: DataFrame) -> DataFrame:
-        return df.withColumn("_digest_", F.unhex(F.sha2(text_of(text_col), 256)))
-
     def match(df: DataFrame, keys: DataFrame, how: str) -> DataFrame:
-        return df.join(keys, df["_digest_"].eqNullSafe(keys["_digest"]) & df[id_col].eqNullSafe(keys["_id"]), how)
+        return df.join(keys, df["digest"].eqNullSafe(keys["_digest"]) & df["id"].eqNullSafe(keys["_id"]), how)
 
-    left = match(keyed(docs), drop, "left_anti")
+    keyed = as_record(docs, id=F.col(id_col), digest=F.unhex(F.sha2(text_of(text_col), 256)))
+    left = match(keyed, drop, "left_anti")
     if not again.isEmpty():
         again = stored(again, "dedup-repeats")
-        left = match(left, again, "left_anti").unionByName(match(left, again, "left_semi").dropDuplicates([id_col, "_digest_"]))
-    return left.drop("_digest_")
+        left = match(left, again, "left_anti").unionByName(match(left, again, "left_semi").dropDuplicates(["id", "digest"]))
+    return left.select("record.*")

@@ -77,8 +77,9 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     slim = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text")).dropDuplicates()
     keyed = slim.withColumn("hash", F.xxhash64("text"))
     found = signatures(word_terms(keyed, ["doc_id", "hash"]), ["doc_id", "hash"], samples)
-    same = keyed["doc_id"].eqNullSafe(found["doc_id"]) & (keyed["hash"] == found["hash"])
-    return keyed.join(found, same, "left").select(keyed["doc_id"], or_wordless(F.col("signature"), samples).alias("signature"))
+    found = found.select(F.col("doc_id").alias("_id"), F.col("hash").alias("_hash"), "signature")
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("hash") == F.col("_hash"))
+    return keyed.select("doc_id", "hash").join(found, same, "left").select("doc_id", or_wordless(F.col("signature"), samples).alias("signature"))
 
 
 def or_wordless(signature: Column, samples: int = SAMPLES) -> Column:

@@ -17,12 +17,12 @@ random number follows from the seed and the ids.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from itertools import groupby
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabular_spark.llm.common import WORD, ranked, stored
+from tabular_spark.llm.common import WORD, as_record, ranked, stored
 
 #: Weights of the sources in code point order, repeating.
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -81,21 +81,24 @@ def rounding(items: DataFrame, keys: list[str], seed: int) -> DataFrame:
     """Rounds ``share`` in each group of ``keys`` and source; ``open`` marks the undecided rows."""
     schema = items.schema
 
-    def run(group):
+    def last_null(x):
+        return x is None, x
+
+    def run(group):  # in Arrow, as pandas has no large integers beside nulls
         import random
 
-        import pandas as pd
+        import pyarrow as pa
 
-        group = group.sort_values(["source", "mass", "order", "doc_id", "size"], ascending=[True, False, True, True, True], na_position="last", ignore_index=True)
-        parts: Iterator = (x for _, x in group.groupby("source", dropna=False, sort=False))
-        out = []
-        for part in parts:
-            draw = random.Random(f"{seed}:{part['order'].iloc[0]}:{len(part)}").random
-            shares, at = pivot(part["mass"].tolist(), part["share"].tolist(), draw)
-            out.append(part.assign(share=shares, open=[i == at for i in range(len(part))]))
-        return pd.concat(out)
+        rows = group.to_pylist()
+        rows.sort(key=lambda r: (last_null(r["source"]), -r["mass"], r["order"], last_null(r["doc_id"]), r["size"]))
+        for _, part in groupby(rows, key=lambda r: r["source"]):
+            part = list(part)
+            shares, at = pivot([r["mass"] for r in part], [r["share"] for r in part], random.Random(f"{seed}:{part[0]['order']}:{len(part)}").random)
+            for i, r in enumerate(part):
+                r["share"], r["open"] = shares[i], i == at
+        return pa.Table.from_pylist(rows, group.schema)
 
-    return items.groupBy(*keys).applyInPandas(run, schema)
+    return items.groupBy(*keys).applyInArrow(run, schema)
 
 
 def copies(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: float = CAP, seed: int = 42, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
@@ -126,11 +129,11 @@ def copies(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: float = C
 def mixed(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with each row as many times as it is taken, all columns kept."""
     found = copies(docs, **options).where("copies > 0")
-    names = [options.get(k, v) for k, v in (("id_col", "doc_id"), ("source_col", "source"))]
-    found = found.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), F.col("copies").alias("_copies"))
-    sized = docs.withColumn("_words", words(options.get("text_col", "text")))
-    both = sized.join(found, sized[names[0]].eqNullSafe(found["_id"]) & sized[names[1]].eqNullSafe(found["_source"]) & (sized["_words"] == found["_size"]))
-    return both.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    id_col, source_col, text_col = (options.get(k, v) for k, v in (("id_col", "doc_id"), ("source_col", "source"), ("text_col", "text")))
+    found = found.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), "size", "copies")
+    sized = as_record(docs, id=F.col(id_col), source=F.col(source_col), words=words(text_col))
+    both = sized.join(found, sized["id"].eqNullSafe(found["_id"]) & sized["source"].eqNullSafe(found["_source"]) & (sized["words"] == found["size"]))
+    return both.select("record", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")).select("record.*")
 
 
 def op10(docs: DataFrame) -> DataFrame:

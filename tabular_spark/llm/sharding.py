@@ -58,11 +58,8 @@ def shuffled(docs: DataFrame, shards: int, seed: int = 42, bucket_bytes: int = B
 
 
 def write_shards(docs: DataFrame, path: str, shards: int, **options) -> None:
-    """Writes the shuffled records as Parquet, ``path/shard=N``; each bucket becomes one file of its shard, with the slot as a column."""
-    out = shuffled(docs, shards, **options)
-    if {"shard", "slot"} & set(docs.columns):
-        raise ValueError("columns named shard or slot are taken by the result")
-    out.select("record.*", "shard", "slot").write.partitionBy("shard").parquet(path)
+    """Writes the shuffled records as Parquet, ``path/shard=N``: columns ``record`` (a struct, so that no name can clash) and ``slot``."""
+    shuffled(docs, shards, **options).write.partitionBy("shard").parquet(path)
 
 
 def op2(docs: DataFrame, shards: int = 16) -> DataFrame:

@@ -24,10 +24,10 @@ import math
 from collections.abc import Iterator
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabular_spark.llm.common import removed, stored, text_of
+from tabular_spark.llm.common import as_record, removed, stored, text_of
 
 WORDS, SIMILARITY = 5, 0.8
 #: Min-hash tokens of a set.
@@ -373,13 +373,13 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     again = found.where(kept).groupBy(*keys).count().where("count > 1").drop("count")
 
     def match(df: DataFrame, other: DataFrame, how: str) -> DataFrame:
-        return df.join(other, df[id_col].eqNullSafe(other["_id"]) & (df["_text_hash"] == other["_hash"]), how)
+        return df.join(other, df["id"].eqNullSafe(other["_id"]) & (df["text_hash"] == other["_hash"]), how)
 
-    left = match(docs.withColumn("_text_hash", F.xxhash64(text_of(text_col))), drop, "left_anti")
+    left = match(as_record(docs, id=F.col(id_col), text_hash=F.xxhash64(text_of(text_col))), drop, "left_anti")
     if not again.isEmpty():  # rows that repeat a kept one in id and text
         again = stored(again, "classes-repeats")
-        left = match(left, again, "left_anti").unionByName(match(left, again, "left_semi").dropDuplicates([id_col, "_text_hash"]))
-    return left.drop("_text_hash")
+        left = match(left, again, "left_anti").unionByName(match(left, again, "left_semi").dropDuplicates(["id", "text_hash"]))
+    return left.select("record.*")
 
 
 def op1(docs: DataFrame) -> DataFrame:
