@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tabular_spark.llm.common import text_of
 
-#: Bytes of text that a bucket holds on average.
+#: Bytes of text that a bucket holds on average. The number of shuffle partitions is the session's, not that of buckets: one partition holds many.
 BUCKET_BYTES = 4 << 20
 #: So many bucket offsets (16 bytes each) are broadcast at most; with more, they are joined by a shuffle.
 BROADCAST_BUCKETS = 1 << 20
@@ -48,7 +48,7 @@ def shuffled(docs: DataFrame, shards: int, seed: int = 42, bucket_bytes: int = B
     bucket = F.pmod(F.xxhash64(F.lit(seed), *key), F.lit(buckets)).cast("int").alias("bucket")
     offsets = bucket_offsets(docs.select(bucket).groupBy("bucket").agg(F.count("*").alias("rows")))
     record = F.struct(F.xxhash64(F.lit(seed + 1), *key).alias("order"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("record"))
-    scattered = docs.select(bucket, record.alias("row")).repartition(buckets, "bucket")
+    scattered = docs.select(bucket, record.alias("row")).repartition("bucket")
     by_order = "array_sort(collect_list(row), (a, b) -> CASE WHEN a.order < b.order THEN -1 WHEN a.order > b.order THEN 1 ELSE 0 END)"
     mixed = scattered.groupBy("bucket").agg(F.expr(by_order).alias("rows")).select("bucket", F.shuffle("rows", seed).alias("rows"))
     placed = mixed.join(F.broadcast(offsets) if buckets <= BROADCAST_BUCKETS else offsets, "bucket")
