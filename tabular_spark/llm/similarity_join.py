@@ -176,7 +176,12 @@ def least_joined(n: int, a, b):
 
 
 def brute_force(least_share: float, size_ratio: float, tokens: int):
-    """Edges (node, least node it is joined with) from parts: rows (part, node, size, tokens), sorted by part."""
+    """Edges (node, least node it is joined with) from parts: rows (part, node, size, tokens, side, whole), sorted by part.
+
+    All pairs of a part are compared. Where a part is two blocks of a larger one (not ``whole``),
+    each block is a whole part as well, so only what joins the two blocks is told: one edge for
+    two groups, not one for each node. Edges of all parts in a batch become one forest.
+    """
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
@@ -185,8 +190,9 @@ def brute_force(least_share: float, size_ratio: float, tokens: int):
         for table in complete_groups(batches):
             part, node, size = (table.column(i).to_numpy() for i in range(3))
             marks = table.column(3).combine_chunks().flatten().to_numpy().reshape(-1, tokens)
+            side, whole = table.column(4).to_numpy(), table.column(5).to_numpy(zero_copy_only=False)
             order = np.lexsort((node, part))
-            part, node, size, marks = part[order], node[order], size[order], marks[order]
+            part, node, size, marks, side, whole = (x[order] for x in (part, node, size, marks, side, whole))
             found_a, found_b, k = [], [], 1
             at = np.arange(len(part))
             while True:
@@ -203,10 +209,15 @@ def brute_force(least_share: float, size_ratio: float, tokens: int):
             if not found_a:
                 continue
             a, b = np.concatenate(found_a), np.concatenate(found_b)
-            least = least_joined(len(part), a, b)
-            joined = np.flatnonzero(least != np.arange(len(part)))
+            least, every = least_joined(len(part), a, b), np.arange(len(part))
+            known = ~whole[a] & (side[a] == side[b])
+            inner = least_joined(len(part), a[known], b[known])
+            joined = np.flatnonzero((least != every) & (inner == every))
             if len(joined):
-                yield pa.RecordBatch.from_arrays([pa.array(node[joined]), pa.array(node[least[joined]])], ["a", "b"])
+                names, places = np.unique(np.concatenate((node[joined], node[least[joined]])), return_inverse=True)
+                forest = least_joined(len(names), places[: len(joined)], places[len(joined) :])
+                rest = np.flatnonzero(forest != np.arange(len(names)))
+                yield pa.RecordBatch.from_arrays([pa.array(names[rest]), pa.array(names[forest[rest]])], ["a", "b"])
 
     return run
 
@@ -264,14 +275,14 @@ def candidate_edges(nodes: DataFrame, similarity: float, recall: float, tokens:
         split = now.withColumn("c", F.explode(parts)).select("node", F.xxhash64("path", "c", F.element_at("tokens", F.col("c") + 1)).alias("part"))
         sizes = split.groupBy("part").agg(F.count("*").alias("members")).where("members > 1")
         kept = stored(split.join(sizes, "part").join(slim, "node"), f"paths-{level}")
-        small = kept.where(F.col("members") <= LEAF)
+        small = kept.where(F.col("members") <= LEAF).withColumn("side", F.lit(0)).withColumn("whole", F.lit(True))
         large = kept.where(F.col("members") > LEAF)
         if level == DEPTH:
             blocks = F.ceil(F.col("members") / LEAF).cast("int")
-            own = F.pmod(F.xxhash64("node"), blocks).cast("int")
-            pairs = large.withColumn("own", own).withColumn("other", F.explode(F.filter(F.sequence(F.lit(0), blocks - 1), lambda k: k != F.col("own"))))
-            small = small.unionByName(pairs.withColumn("part", F.xxhash64("part", F.least("own", "other"), F.greatest("own", "other"))).select(*small.columns))
-        found = small.select("part", "node", "size", "tokens").repartition("part").sortWithinPartitions("part").mapInArrow(compare, "a long, b long")
+            pairs = large.withColumn("side", F.pmod(F.xxhash64("node"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+            pairs = pairs.withColumn("part", F.xxhash64("part", F.least("side", "other"), F.greatest("side", "other"))).withColumn("whole", F.col("side") == F.col("other"))
+            small = small.unionByName(pairs.select(*small.columns))
+        found = small.select("part", "node", "size", "tokens", "side", "whole").repartition("part").sortWithinPartitions("part").mapInArrow(compare, "a long, b long")
         edges = found if edges is None else edges.unionByName(found)
         now = large.select("node", "size", "tokens", F.col("part").alias("path"))
     return edges.distinct()
