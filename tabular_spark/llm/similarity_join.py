@@ -39,6 +39,8 @@ RECALL = 0.999
 MARGIN = 0.2
 #: Nodes of a candidate class that are verified against each other in one task are two blocks of this size.
 BLOCK = 128
+#: Nodes in a block of a part that is still large at full depth; only tokens are compared there, so two such blocks are about a megabyte.
+PART_BLOCK = 2048
 CHUNK = 4 << 20
 
 
@@ -278,7 +280,7 @@ def candidate_edges(nodes: DataFrame, similarity: float, recall: float, tokens:
         small = kept.where(F.col("members") <= LEAF).withColumn("side", F.lit(0)).withColumn("whole", F.lit(True))
         large = kept.where(F.col("members") > LEAF)
         if level == DEPTH:
-            blocks = F.ceil(F.col("members") / LEAF).cast("int")
+            blocks = F.ceil(F.col("members") / PART_BLOCK).cast("int")
             pairs = large.withColumn("side", F.pmod(F.xxhash64("node"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
             pairs = pairs.withColumn("part", F.xxhash64("part", F.least("side", "other"), F.greatest("side", "other"))).withColumn("whole", F.col("side") == F.col("other"))
             small = small.unionByName(pairs.select(*small.columns))

@@ -93,7 +93,8 @@ def test_join_equals_brute_force(docs, local):
     assert got == brute_classes(local["doc_id"].tolist(), local["text"].tolist())
 
 
-def test_join_of_many_near_copies(spark):
+def test_join_of_many_near_copies(spark, monkeypatch):
+    monkeypatch.setattr(similarity_join, "PART_BLOCK", 100)
     draw = random.Random(5)
     base = [f"w{draw.randrange(10**6)}" for _ in range(120)]
     texts = []
