@@ -43,6 +43,13 @@ OTHER_WORDS = frozenset("ad ads advert advertisement adverts banner breadcrumb b
 OUTSIDE_WORDS = frozenset(["header", "masthead"])
 ARTICLE_ELEMENTS = frozenset(["article", "main"])
 ARTICLE_WORDS = frozenset("article articlebody main content entry post story".split())
+#: Elements whose words say nothing of the part they hold, and parts of a hyphenated word that make it a state of its element.
+WHOLE_PAGE = frozenset(["html", "body"])
+MODIFIERS = frozenset("disabled enabled has is no not with without".split())
+#: Words that even an article element outside of any other article is left out for.
+COMMENT = frozenset(["comment", "comments"])
+#: What may stand in <head>; anything else ends it.
+IN_HEAD = frozenset("base head link meta noscript script style template title".split())
 
 TOKEN = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([A-Za-z][^\s/>]*)([^>]*)(>|$)|([^<]+|<)", re.DOTALL)
 ATTRIBUTE = re.compile(r"""\b(class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
@@ -57,12 +64,28 @@ FAN_IN, SALTS = 64, 64
 
 
 @lru_cache(20_000)
-def telling(attributes: str) -> str:
-    """The words in class, id and role that say what an element is for."""
-    words = {w for a in ATTRIBUTE.finditer(attributes) for w in re.split(r"[^a-z]+", (a[2] or a[3] or a[4] or "").lower())}
+def telling(name: str, attributes: str) -> str:
+    """The words in class, id and role that say what an element is for.
+
+    Those of <html> and <body>, and states such as has-sidebar, don't; on an article element only
+    whole words do, as article-share is still the article.
+    """
+    if name in WHOLE_PAGE:
+        return ""
+    words = set()
+    for a in ATTRIBUTE.finditer(attributes):
+        for word in (a[2] or a[3] or a[4] or "").lower().split():
+            parts = re.split(r"[^a-z]+", word)
+            if not MODIFIERS & set(parts) and (len(parts) == 1 or name not in ARTICLE_ELEMENTS):
+                words |= set(parts)
     return ".".join(sorted(words & (OTHER_WORDS | OUTSIDE_WORDS | ARTICLE_WORDS)))
 
 
+@lru_cache(100)
+def end_of(name: str) -> re.Pattern:
+    return re.compile(f"</{re.escape(name)}(?=[\\s/>])[^>]*(?:>|$)", re.IGNORECASE)
+
+
 def stream(page: str) -> tuple[list[str], list[str], list[bool]]:
     """Labels of a page's tokens, the text of each (empty for tags), and whether a block starts before it.
 
@@ -70,15 +93,15 @@ def stream(page: str) -> tuple[list[str], list[str], list[bool]]:
     """
     labels, texts, breaks = [], [], []
     open_: list[tuple[str, str]] = []  # element and its path
-    fresh, skip = True, ""
-    for m in TOKEN.finditer(page):
+    fresh, at_char = True, 0
+    while at_char < len(page):
+        m = TOKEN.match(page, at_char)
+        at_char = m.end()
         closing, name, rest, _, text = m.groups()
-        if skip:  # inside an element without text
-            if name and closing and name.lower() == skip:
-                skip = ""
-            continue
         if text is not None:
             text = entities.unescape(text)
+            if open_ and open_[-1][0] == "head" and text.strip():
+                open_.pop()
             if text.strip() or (text and labels and labels[-1].endswith("#")) or (text and not fresh):
                 labels.append((open_[-1][1] if open_ else "") + "#")
                 texts.append(text)
@@ -103,6 +126,10 @@ def stream(page: str) -> tuple[list[str], list[str], list[bool]]:
                 texts.append("")
                 breaks.append(False)
             continue
+        if name not in IN_HEAD:
+            at = next((i for i in range(len(open_)) if open_[i][0] == "head"), -1)
+            if at >= 0:
+                del open_[at:]
         if name in BLOCKS:  # a paragraph can't hold a block
             at = next((i for i in range(len(open_) - 1, -1, -1) if open_[i][0] == "p"), -1)
             if at >= 0:
@@ -112,10 +139,11 @@ def stream(page: str) -> tuple[list[str], list[str], list[bool]]:
             if at >= 0 and open_[at][0] == name:
                 del open_[at:]
         if name in RAW:
-            if not rest.rstrip().endswith("/"):
-                skip = name
+            if not rest.rstrip().endswith("/"):  # its content isn't markup
+                end = end_of(name).search(page, at_char)
+                at_char = end.end() if end else len(page)
             continue
-        words = telling(rest) if rest else ""
+        words = telling(name, rest) if rest else ""
         path = (open_[-1][1] if open_ else "") + name + ("." + words if words else "") + ">"
         labels.append(path)
         texts.append("")
@@ -125,14 +153,18 @@ def stream(page: str) -> tuple[list[str], list[str], list[bool]]:
     return labels, texts, breaks
 
 
+@lru_cache(100_000)
 def place(label: str) -> int:
     """2 for a slot in an article, 1 for one elsewhere, 0 for one in another part of the page."""
     article = False
     for step in label.split(">")[:-1]:
         name, *words = step.split(".")
-        if name in OTHER_ELEMENTS or OTHER_WORDS & set(words):
+        other = OTHER_WORDS & set(words)
+        if name in ARTICLE_ELEMENTS and not article:
+            other &= COMMENT
+        if name in OTHER_ELEMENTS or other:
             return 0
-        if not article and (name == "header" or OUTSIDE_WORDS & set(words)):
+        if not article and name not in ARTICLE_ELEMENTS and (name == "header" or OUTSIDE_WORDS & set(words)):
             return 0
         article = article or name in ARTICLE_ELEMENTS or bool(ARTICLE_WORDS & set(words))
     return 2 if article else 1

@@ -262,6 +262,25 @@ def test_extraction_odd(spark):
     assert rows(html_wrappers.op4(pages.limit(0))) == []
 
 
+
+ARTICLE = "<article><h1>Head</h1><p>Body</p></article>"
+
+
+@pytest.mark.parametrize(
+    "html",
+    [
+        f"<head><script>for(i=0;i<n;i++){{x()}}</script></head><body>{ARTICLE}</body>",
+        f"<style>a<b{{}}</style>{ARTICLE}<script>'<p>'</script>",
+        f"<html><head><meta charset=utf-8><title>T</title><body>{ARTICLE}",
+        f"<html><head><title>T</title>{ARTICLE}",
+        f"<body class='single has-sidebar'>{ARTICLE}<div class='sidebar-left'><p>Side</p></div>",
+        f"<body class='no sidebar'>{ARTICLE.replace('<article', '<article class=article-share-enabled')}<div class='share-buttons'>Share</div>",
+    ],
+)
+def test_extraction_keeps_articles_of_untidy_pages(html):
+    assert html_wrappers.Wrapper().text(html) == "Head\n\nBody"
+
+
 # tokens
 
 
