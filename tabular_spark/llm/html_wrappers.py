@@ -8,7 +8,7 @@ by the same alignment, brings those of a host together, so that each page of the
 
 To extract, a page is aligned with its host's wrapper. Text slots inside the article are kept;
 those inside menus, headers, footers, sidebars, notices, adverts, forms and reader comments are
-not, nor those whose text is the same on every page of the host. A page with no slot in an article
+not, nor those outside of it whose text is the same on every page of the host. A page with no slot in an article
 gives the text of its other slots outside such parts.
 
 Cases: a null html counts as empty and gives the empty text; a null url belongs to the host "";
@@ -18,6 +18,7 @@ kept whole; an empty table gives an empty result; only page_id, url and html are
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import json
 import re
@@ -207,13 +208,15 @@ class Wrapper:
     Inside, each label and each repeated group is one character, so that a stream is a string.
     ``names`` are the labels, ``groups`` what a group's character repeats, in the order of their
     finding. An item is [character, pages that have it, checksum of its text or None if it varies];
-    one that fewer than all pages have is optional.
+    one that fewer than all pages have is optional. Copies of a page say nothing of what is constant,
+    so ``first`` is the digest of the first page's tokens and texts and ``many`` whether another differs.
     """
 
     FIRST = 0xF0000
 
     def __init__(self) -> None:
         self.pages = 0
+        self.first, self.many = "", False
         self.items: list[list[Any]] = []
         self.names: list[str] = []
         self.index: dict[str, str] = {}
@@ -289,12 +292,18 @@ class Wrapper:
                 i, j = a + 1, b + 1
             self.items, self.known = out, {}
 
+    def differs(self, first: str, many: bool = False) -> None:
+        self.many = self.many or many or bool(self.first and first and self.first != first)
+        self.first = self.first or first
+
     def page(self, labels: list[str], texts: list[str]) -> None:
+        self.differs(hashlib.sha256("\0".join([*labels, *texts]).encode("utf-8", "surrogatepass")).hexdigest())
         folded, starts = self.fold("".join(map(self.char, labels)))
         sums = [zlib.crc32(texts[i].strip().encode()) if c not in self.groups and labels[i][-1] == "#" else None for c, i in zip(folded, starts)]
         self.take(1, folded, [1] * len(folded), sums)
 
     def merge(self, other: Wrapper) -> None:
+        self.differs(other.first, other.many)
         own: dict[str, str] = {}
         for i, name in enumerate(other.names):
             c = chr(self.FIRST + i)
@@ -305,12 +314,12 @@ class Wrapper:
         self.take(other.pages, folded, counts, [other.items[i][2] if j == i + 1 and c not in self.groups else None for c, i, j in zip(folded, starts, ends)])
 
     def dump(self) -> bytes:
-        return zlib.compress(json.dumps([self.pages, self.items, self.names, self.groups]).encode())
+        return zlib.compress(json.dumps([self.pages, self.first, self.many, self.items, self.names, self.groups]).encode())
 
     @classmethod
     def load(cls, data: bytes) -> Wrapper:
         out = cls()
-        out.pages, out.items, names, groups = json.loads(zlib.decompress(data))
+        out.pages, out.first, out.many, out.items, names, groups = json.loads(zlib.decompress(data))
         for i, name in enumerate(names):
             c = chr(cls.FIRST + i)
             assert (out.group(groups[c]) if c in groups else out.char(name)) == c
@@ -320,13 +329,13 @@ class Wrapper:
         """The main text of a page."""
         labels, texts, breaks = stream(page)
         fixed = set()
-        if self.pages >= TEMPLATE_PAGES:
+        if self.pages >= TEMPLATE_PAGES and self.many:
             folded, starts = self.fold("".join(map(self.char, labels)))
             fixed = {starts[b] for a, b in self.align(folded) if self.items[a][2] is not None and self.items[a][1] == self.pages and texts[starts[b]].strip()}
         for x in labels:
             if x not in self.places:
                 self.places[x] = place(x) if x[-1] == "#" else 0
-        places = [self.places[x] if i not in fixed else 0 for i, x in enumerate(labels)]
+        places = [self.places[x] if i not in fixed or self.places[x] == 2 else 0 for i, x in enumerate(labels)]
         best = max((p for p, t in zip(places, texts) if p and t.strip()), default=0)
         if not best:
             return ""

@@ -281,6 +281,24 @@ def test_extraction_keeps_articles_of_untidy_pages(html):
     assert html_wrappers.Wrapper().text(html) == "Head\n\nBody"
 
 
+def host_wrapper(pages):
+    wrapper = html_wrappers.Wrapper()
+    for x in pages:
+        other = html_wrappers.Wrapper()
+        other.page(*html_wrappers.stream(x)[:2])
+        wrapper.merge(other)
+    return html_wrappers.Wrapper.load(wrapper.dump())
+
+
+@pytest.mark.parametrize("times", [1, 2, 25])
+@pytest.mark.parametrize("differing", [False, True])
+def test_extraction_keeps_articles_of_copies(times, differing):
+    pages = [f"<body><p>Printed at {k if differing else 0}</p>{ARTICLE}</body>" for k in range(times)]
+    assert {host_wrapper(pages).text(x) for x in pages} == {"Head\n\nBody"}
+    pages = [x.replace(ARTICLE, "<div><p>All there is</p></div>").replace("<p>Printed at 0</p>", "") for x in pages]
+    assert all("All there is" in host_wrapper(pages).text(x) for x in pages if not differing)
+
+
 # tokens
 
 
