@@ -6,10 +6,14 @@ stream of its first page; every further page is aligned with it, and what only o
 becomes an optional group. Tasks infer wrappers of the hosts in their pages, and a tree of merges,
 by the same alignment, brings those of a host together, so that each page of the table counts.
 
-To extract, a page is aligned with its host's wrapper. Text slots inside the article are kept;
-those inside menus, headers, footers, sidebars, notices, adverts, forms and reader comments are
-not, nor those outside of it whose text is the same on every page of the host. A page with no slot in an article
-gives the text of its other slots outside such parts.
+To extract, a page of a host with at least two different pages is aligned with its host's wrapper.
+What varies, is optional or is repeated with other texts is the pages' own; what is constant on all
+pages, also as a repeated group, is template. Elements and words in class, id and role choose among
+what is the pages' own: menus, headers, footers, sidebars, notices, adverts, forms and reader
+comments are left out, and an article that they tell of is taken alone and whole, unless the pages' own text outside of it
+outweighs it. Else all text of the pages' own is taken, and what is constant in between. If the words
+leave nothing, what varies is taken against the weaker ones. On hosts with one page, or
+copies of one, elements and words decide alone.
 
 Cases: a null html counts as empty and gives the empty text; a null url belongs to the host "";
 unclosed and cut-off tags are closed by what follows; repeated rows stay; texts of any length are
@@ -24,7 +28,7 @@ import json
 import re
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 from typing import Any
 
 from pyspark.sql import DataFrame
@@ -40,6 +44,8 @@ CLOSED_BY_SAME = frozenset("li dt dd tr td th option".split())
 # Elements and words in class, id and role that stand for other parts of a page than its article.
 OTHER_ELEMENTS = frozenset("aside button dialog footer form head menu nav select".split())
 OTHER_WORDS = frozenset("ad ads advert advertisement adverts banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer login menu modal nav navbar navigation newsletter notice popup promo related respond search share sharing sidebar signup social sponsor sponsored subscribe widget".split())
+#: Those of them that may as well be part of an article's name; not heeded where the words leave nothing that differs between pages.
+WEAK_WORDS = frozenset("banner modal newsletter notice popup promo related search share sharing sidebar signup social sponsor sponsored subscribe widget".split())
 #: Only outside of an article.
 OUTSIDE_WORDS = frozenset(["header", "masthead"])
 ARTICLE_ELEMENTS = frozenset(["article", "main"])
@@ -55,8 +61,10 @@ IN_HEAD = frozenset("base head link meta noscript script style template title".s
 TOKEN = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([A-Za-z][^\s/>]*)([^>]*)(>|$)|([^<]+|<)", re.DOTALL)
 ATTRIBUTE = re.compile(r"""\b(class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 SPACE = re.compile(r"\s+")
-#: A slot with one text on all pages is part of the template if the host has so many pages.
-TEMPLATE_PAGES = 20
+#: Checksums of texts are polynomials, so that those of neighbours can be put together.
+MODULUS, BASE = (1 << 61) - 1, 1_000_003
+#: What is told of as an article is none if the pages' own text elsewhere is so many times as long.
+OUTWEIGHED = 4
 #: Longest group, in tokens or groups, that is tried as a repetition.
 LONGEST_GROUP = 24
 REPEATED = re.compile("(.{1,%d}?)\\1+" % LONGEST_GROUP, re.DOTALL)
@@ -155,22 +163,40 @@ def stream(page: str) -> tuple[list[str], list[str], list[bool]]:
 
 
 @lru_cache(100_000)
-def place(label: str) -> int:
-    """2 for a slot in an article, 1 for one elsewhere, 0 for one in another part of the page."""
+def place(label: str, weak: bool = True) -> int:
+    """2 for a slot in an article, 1 for one elsewhere, 0 for one in another part of the page, told by elements and words; without ``weak``, not by ``WEAK_WORDS``."""
     article = False
     for step in label.split(">")[:-1]:
-        name, *words = step.split(".")
-        other = OTHER_WORDS & set(words)
+        name, *own = step.split(".")
+        own = set(own) if weak else set(own) - WEAK_WORDS
+        other = OTHER_WORDS & own
         if name in ARTICLE_ELEMENTS and not article:
             other &= COMMENT
         if name in OTHER_ELEMENTS or other:
             return 0
-        if not article and name not in ARTICLE_ELEMENTS and (name == "header" or OUTSIDE_WORDS & set(words)):
+        if not article and name not in ARTICLE_ELEMENTS and (name == "header" or OUTSIDE_WORDS & own):
             return 0
-        article = article or name in ARTICLE_ELEMENTS or bool(ARTICLE_WORDS & set(words))
+        article = article or name in ARTICLE_ELEMENTS or bool(ARTICLE_WORDS & own)
     return 2 if article else 1
 
 
+def checksum(text: str) -> int:
+    """Of one slot; the lower 32 bits count the slots, the others are the polynomial."""
+    text = text.strip()
+    return zlib.crc32(text.encode("utf-8", "surrogatepass")) + 1 << 32 | 1 if text else 0
+
+
+def joined(sums: list[int | None]) -> int | None:
+    """The checksum of slots one after the other; None if one varies."""
+    value = number = 0
+    for x in sums:
+        if x is None:
+            return None
+        slots = x & 0xFFFFFFFF
+        value, number = (value * pow(BASE, slots, MODULUS) + (x >> 32)) % MODULUS, number + slots
+    return value << 32 | number
+
+
 def aligned(a: str, b: str) -> list[tuple[int, int]]:
     """Pairs of places of a longest common subsequence."""
     import numpy as np
@@ -207,8 +233,9 @@ class Wrapper:
 
     Inside, each label and each repeated group is one character, so that a stream is a string.
     ``names`` are the labels, ``groups`` what a group's character repeats, in the order of their
-    finding. An item is [character, pages that have it, checksum of its text or None if it varies];
-    one that fewer than all pages have is optional. Copies of a page say nothing of what is constant,
+    finding. An item is [character, pages that have it, checksum of its text or None if it varies,
+    characters of its text inside of articles and elsewhere by ``place``, over all pages]; one that
+    fewer than all pages have is optional. Copies of a page say nothing of what is constant,
     so ``first`` is the digest of the first page's tokens and texts and ``many`` whether another differs.
     """
 
@@ -223,7 +250,6 @@ class Wrapper:
         self.groups: dict[str, str] = {}
         self.patterns: list[tuple[str, re.Pattern]] = []
         self.known: dict[str, list[tuple[int, int]]] = {}
-        self.places: dict[str, int] = {}
 
     def char(self, name: str) -> str:
         if name not in self.index:
@@ -239,7 +265,7 @@ class Wrapper:
             self.patterns.append((char, re.compile("(?:" + block + "|" + char + ")+")))
         return char
 
-    def fold(self, labels: str) -> tuple[str, list[int]]:
+    def fold(self, labels: str, learn: bool = True) -> tuple[str, list[int]]:
         """The stream with its repetitions folded, those known also where they stand once, and the first token of each item."""
         starts = list(range(len(labels)))
         while True:
@@ -256,7 +282,7 @@ class Wrapper:
                     labels, starts = "".join(out) + labels[last:], kept + starts[last:]
             if labels != before:
                 continue
-            m = REPEATED.search(labels)
+            m = REPEATED.search(labels) if learn else None
             if m is None:
                 return labels, starts
             self.group(m[1])
@@ -268,27 +294,34 @@ class Wrapper:
             self.known[labels] = aligned("".join(x[0] for x in self.items), labels)
         return self.known[labels]
 
-    def take(self, pages: int, labels: str, counts: list[int], sums: list[int | None]) -> None:
-        """Aligns a folded stream, of one page or of another wrapper, and takes it in."""
+    def folded(self, items: list[list[Any]], labels: str, pages: int) -> list[list[Any]]:
+        """Items put together where the stream of their characters, ``labels``, folds."""
+        folded, starts = self.fold(labels)
+        out = []
+        for c, i, j in zip(folded, starts, [*starts[1:], len(items)]):
+            run = items[i:j]
+            constant = joined([x[2] for x in run]) if j == i + 1 or all(x[1] == pages for x in run) else None
+            out.append([c, max(x[1] for x in run), constant, sum(x[3] for x in run), sum(x[4] for x in run)])
+        return out
+
+    def take(self, pages: int, items: list[list[Any]]) -> None:
+        """Aligns folded items, of one page or of another wrapper, and takes them in."""
         own = "".join(x[0] for x in self.items)
-        folded, starts = self.fold(own)
-        if folded != own:  # a repetition was found that the items hold unfolded
-            ends = [*starts[1:], len(own)]
-            self.items = [self.items[i] if self.items[i][0] == c else [c, max(x[1] for x in self.items[i:j]), None] for c, i, j in zip(folded, starts, ends)]
+        if self.fold(own)[0] != own:  # a repetition was found that the items hold unfolded
+            self.items = self.folded(self.items, own, self.pages)
             self.known = {}
         self.pages += pages
         if not self.items:
-            self.items = [list(x) for x in zip(labels, counts, sums)]
+            self.items = items
             return
-        pairs = self.align(labels)
+        pairs = self.align("".join(x[0] for x in items))
         for i, j in pairs:
-            self.items[i][1] += counts[j]
-            if self.items[i][2] != sums[j]:
-                self.items[i][2] = None
-        if len(pairs) < len(labels):
+            x, y = self.items[i], items[j]
+            self.items[i] = [x[0], x[1] + y[1], x[2] if x[2] == y[2] else None, x[3] + y[3], x[4] + y[4]]
+        if len(pairs) < len(items):
             out, i, j = [], 0, 0
-            for a, b in [*pairs, (len(self.items), len(labels))]:
-                out += self.items[i:a] + [[labels[k], counts[k], sums[k]] for k in range(j, b)] + self.items[a : a + 1]
+            for a, b in [*pairs, (len(self.items), len(items))]:
+                out += self.items[i:a] + items[j:b] + self.items[a : a + 1]
                 i, j = a + 1, b + 1
             self.items, self.known = out, {}
 
@@ -298,9 +331,12 @@ class Wrapper:
 
     def page(self, labels: list[str], texts: list[str]) -> None:
         self.differs(hashlib.sha256("\0".join([*labels, *texts]).encode("utf-8", "surrogatepass")).hexdigest())
-        folded, starts = self.fold("".join(map(self.char, labels)))
-        sums = [zlib.crc32(texts[i].strip().encode()) if c not in self.groups and labels[i][-1] == "#" else None for c, i in zip(folded, starts)]
-        self.take(1, folded, [1] * len(folded), sums)
+        items = []
+        for x, text in zip(labels, texts):
+            slot = place(x) if x[-1] == "#" else 0
+            size = len(text.strip()) if slot else 0
+            items.append([self.char(x), 1, checksum(text), size if slot == 2 else 0, size if slot == 1 else 0])
+        self.take(1, self.folded(items, "".join(x[0] for x in items), 1))
 
     def merge(self, other: Wrapper) -> None:
         self.differs(other.first, other.many)
@@ -308,10 +344,8 @@ class Wrapper:
         for i, name in enumerate(other.names):
             c = chr(self.FIRST + i)
             own[c] = self.group("".join(own[x] for x in other.groups[c])) if c in other.groups else self.char(name)
-        folded, starts = self.fold("".join(own[x[0]] for x in other.items))
-        ends = [*starts[1:], len(other.items)]
-        counts = [max(x[1] for x in other.items[i:j]) for i, j in zip(starts, ends)]
-        self.take(other.pages, folded, counts, [other.items[i][2] if j == i + 1 and c not in self.groups else None for c, i, j in zip(folded, starts, ends)])
+        items = [[own[x[0]], *x[1:]] for x in other.items]
+        self.take(other.pages, self.folded(items, "".join(x[0] for x in items), other.pages))
 
     def dump(self) -> bytes:
         return zlib.compress(json.dumps([self.pages, self.first, self.many, self.items, self.names, self.groups]).encode())
@@ -325,25 +359,55 @@ class Wrapper:
             assert (out.group(groups[c]) if c in groups else out.char(name)) == c
         return out
 
+    def template(self, labels: list[str]) -> set[int]:
+        """The tokens of a page whose text is the same on all pages of the host, groups as a whole."""
+        if not self.many:
+            return set()
+        folded, starts = self.fold("".join(map(self.char, labels)), learn=False)
+        ends, out = [*starts[1:], len(labels)], set()
+        for a, b in self.align(folded):
+            if self.items[a][2] is not None and self.items[a][1] == self.pages:
+                out.update(range(starts[b], ends[b]))
+        return out
+
+    @cached_property
+    def confirmed(self) -> bool:
+        """Whether what differs between the host's pages doesn't outweigh what words tell of as their article."""
+        elsewhere = sum(x[4] for x in self.items if x[2] is None or x[1] < self.pages)
+        return not self.many or sum(x[3] for x in self.items) * OUTWEIGHED >= elsewhere
+
+    def kept(self, labels: list[str], texts: list[str]) -> set[int]:
+        """The tokens whose text is that of the article."""
+        fixed = self.template(labels)
+        slots = [i for i, (x, t) in enumerate(zip(labels, texts)) if x[-1] == "#"]
+        places = {i: place(labels[i]) for i in slots}
+        shown = [i for i in slots if texts[i].strip()]
+        inside = any(places[i] == 2 for i in shown)
+        if inside and self.confirmed:
+            return {i for i in slots if places[i] == 2}
+        out = {i for i in slots if places[i] == 2 or places[i] == 1 and i not in fixed}
+        if self.many and not any(i in out for i in shown):  # the words leave nothing: what differs is the article
+            out = {i for i in slots if i not in fixed and place(labels[i], weak=False)}
+        if not any(i in out for i in shown):
+            out = {i for i in slots if places[i]}
+        own = [i for i in shown if i in out]
+        for a, b in zip(own, own[1:]):  # constant text in between, in the element that holds both
+            between = [i for i in range(a + 1, b) if i not in out and places.get(i) == 1]
+            for i in between:
+                parent = labels[i][: labels[i].rstrip("#").rstrip(">").rfind(">") + 1]
+                if all(x.startswith(parent) for x in labels[a : b + 1]):
+                    out.add(i)
+        return out
+
     def text(self, page: str) -> str:
         """The main text of a page."""
         labels, texts, breaks = stream(page)
-        fixed = set()
-        if self.pages >= TEMPLATE_PAGES and self.many:
-            folded, starts = self.fold("".join(map(self.char, labels)))
-            fixed = {starts[b] for a, b in self.align(folded) if self.items[a][2] is not None and self.items[a][1] == self.pages and texts[starts[b]].strip()}
-        for x in labels:
-            if x not in self.places:
-                self.places[x] = place(x) if x[-1] == "#" else 0
-        places = [self.places[x] if i not in fixed or self.places[x] == 2 else 0 for i, x in enumerate(labels)]
-        best = max((p for p, t in zip(places, texts) if p and t.strip()), default=0)
-        if not best:
-            return ""
+        kept = self.kept(labels, texts)
         blocks: list[str] = []
-        for p, t, new in zip(places, texts, breaks):
+        for i, (t, new) in enumerate(zip(texts, breaks)):
             if new or not blocks:
                 blocks.append("")
-            if p == best:
+            if i in kept:
                 blocks[-1] += t
         return "\n\n".join(x for b in blocks if (x := SPACE.sub(" ", b).strip()))
 

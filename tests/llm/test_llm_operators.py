@@ -299,6 +299,29 @@ def test_extraction_keeps_articles_of_copies(times, differing):
     assert all("All there is" in host_wrapper(pages).text(x) for x in pages if not differing)
 
 
+@pytest.mark.parametrize("number", [2, 3, 25])
+def test_wrappers_decide_what_is_article(number):
+    menu = "<div><a>Home</a><a>News</a><a>About</a></div>"
+
+    def pages(body):
+        return ["<body><div>Site</div>" + menu + body.format(k=k, more="".join(f"<p>More {j} of {k}</p>" for j in range(k % 3))) + "<div>All rights</div></body>" for k in range(number)]
+
+    def want(text):
+        return [text.format(k=k, more="".join(f"\n\nMore {j} of {k}" for j in range(k % 3))) for k in range(number)]
+
+    for body, text in (
+        ("<div><h2>Title {k}</h2><p>Text {k}</p>{more}</div>", "Title {k}\n\nText {k}{more}"),
+        ("<div><h2>Title {k}</h2><h3>Summary</h3><p>Text {k}</p>{more}</div>", "Title {k}\n\nSummary\n\nText {k}{more}"),
+        ("<div class=entry>Day {k}</div><div><p>A long text of the page number {k}</p>{more}</div>", "Day {k}\n\nA long text of the page number {k}{more}"),
+        ("<div class=related-story><h2>Title {k}</h2>{more}</div>", "Title {k}{more}"),
+    ):
+        made = pages(body)
+        wrapper = host_wrapper(made)
+        got = [wrapper.text(x) for x in made]
+        # words alone leave nothing of the fourth but the template
+        assert got == want(text) and [html_wrappers.Wrapper().text(x) for x in made] != want(text)
+
+
 # tokens
 
 
