@@ -5,12 +5,21 @@ A whole text, each block of it between blank lines and each line is brought into
 single spaces) and its digest is hash-joined with those of known license texts, canonicalised by
 the same expression. The known texts are a short fixed list, so they are broadcast.
 
+Texts of several paragraphs (``license_texts/``) are known by the digests of their blocks, and a
+document holds one where all of them stand in a row, whatever comes before or after: digest and
+place are joined, and runs with every place of the text are kept. Titles and copyright lines, with
+or without a year, are off; texts of up to ``MOST_JOINED`` blocks are known in every paragraphing.
+
 Cases: a null text counts as empty; empty texts and units match nothing; repeated rows get the
 same result each; an empty table gives an empty result; only the named columns are read.
 """
 
 from __future__ import annotations
 
+import itertools
+import re
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,9 +60,23 @@ COPYRIGHT_LINE = r"(?m)^[^a-z0-9\n]*(copyright|\(c\)|©)[^\n]*(19|20)[0-9][0-9][
 #: All but letters, digits and the ends of lines; what stands around the end of a line.
 PUNCTUATION, LINE_END = r"[^\p{L}\p{N}\n]+", r" ?\n ?"
 #: Every known text holds one of these in canonical form, so a text or unit without them can't be one.
-MARKS = ("licen", "permission")
+MARKS = ("licen", "permission", "redistribution")
 #: Ends of lines between two blocks; any number of them.
 BETWEEN_BLOCKS, LINE_ENDS = r"\n\n+", r"\n+"
+#: Texts of several paragraphs, in files named after their SPDX identifiers; blocks that are tried joined in every way.
+TEXTS, MOST_JOINED = Path(__file__).with_name("license_texts"), 6
+#: What ends the terms of a license, before advice on how to apply it.
+END_OF_TERMS = "END OF TERMS AND CONDITIONS"
+#: Lines that aren't of the license itself: who holds the copyright, with or without a year, and its title.
+HOLDER_LINE = r"(?m)^[^\p{L}\p{N}\n]*(copyright\b[ \t]*+(\(c\)|©)?+|©)[ \t:]*+(?!(and|in|interest|interests|law|laws|license|licenses|notice|notices|holder|holders|on|or|owner|owners|permission|statement|to|treaty)\b)[^\n]*$"
+TITLE_LINE = r"(?m)^ ?((the )?(mit|expat|isc|x11|zlib|boost software|bsd|([023]|two|three|new|modified|simplified|revised) (clause )?bsd)( [a-z0-9]+){0,3}? licen[cs]e( [a-z0-9]{1,7}){0,4}|all rights reserved) ?$"
+#: Numbers of the conditions, and names that stand for the holder.
+CONDITION = r"(?m)^ ?([0-9]|[a-z]|[ivx]{1,3}) (?=redistributions|neither the name)"
+NAMES = (
+    (r"neither the names? of .{1,120}? (?:nor|or) the names of (?:its|any|other|the)(?: other)? contributors", "neither the name of the copyright holder nor the names of its contributors"),
+    (r"software is provided by .{1,120}? as is", "software is provided by the copyright holders and contributors as is"),
+    (r"in no event shall .{1,120}? be liable for any direct", "in no event shall the copyright holder or contributors be liable for any direct"),
+)
 
 
 def marked(text: Column) -> Column:
@@ -101,9 +124,54 @@ def hits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     return found.join(F.broadcast(known(docs.sparkSession)), "digest").drop("digest")
 
 
+def bare_lines(text: Column) -> Column:
+    """``plain_lines`` without lines of titles and holders, and without numbers of conditions."""
+    lines = plain_lines(F.regexp_replace(F.lower(text), HOLDER_LINE, ""))
+    return F.regexp_replace(F.regexp_replace(lines, TITLE_LINE, ""), CONDITION, "")
+
+
+def bare_blocks(text: Column) -> Column:
+    """The canonical forms of the blocks of a text that has one at all."""
+
+    def form(block: Column) -> Column:
+        out = one_line(block)
+        for written, becomes in NAMES:
+            out = F.regexp_replace(out, written, becomes)
+        return out
+
+    return F.filter(F.transform(F.split(bare_lines(text), BETWEEN_BLOCKS), form), lambda x: x != "")
+
+
+def known_runs(spark: SparkSession) -> DataFrame:
+    """(license, run, place, length, block digest) of the texts of several paragraphs, in each paragraphing that is tried."""
+    found = list(KNOWN)
+    for path in sorted(TEXTS.glob("*.txt")):
+        name, text = path.name.removesuffix(".txt").removesuffix(".notice"), path.read_text(encoding="utf-8")
+        for part in {text, text.partition(END_OF_TERMS)[0], text.partition(END_OF_TERMS)[0] + END_OF_TERMS if END_OF_TERMS in text else text}:
+            blocks = re.split(r"\n\s*\n", part.strip())
+            if len(blocks) > MOST_JOINED:
+                found += [(name, part), (name, re.sub(r"\n\s*\n", "\n", part))]
+            else:
+                found += [(name, blocks[0] + "".join(a + b for a, b in zip(ends, blocks[1:]))) for ends in itertools.product(("\n\n", "\n"), repeat=len(blocks) - 1)]
+    texts = spark.createDataFrame([(i, *x) for i, x in enumerate(found)], "run int, license string, text string")
+    blocks = texts.select("license", "run", bare_blocks(F.col("text")).alias("blocks"))
+    return blocks.select("license", "run", F.size("blocks").alias("length"), F.posexplode("blocks").alias("place", "form")).select("license", "run", "length", "place", F.sha2("form", 256).alias("digest"))
+
+
+def runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, hash, whole, license) of the runs of blocks that are a known text."""
+    text = text_of(text_col)
+    blocks = docs.where(marked(F.lower(text))).select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("hash"), bare_blocks(text).alias("blocks"))
+    placed = blocks.select("doc_id", "hash", F.size("blocks").alias("all"), F.posexplode("blocks").alias("at", "form")).select("doc_id", "hash", "all", "at", F.sha2("form", 256).alias("digest"))
+    found = placed.join(F.broadcast(known_runs(docs.sparkSession)), "digest").withColumn("start", F.col("at") - F.col("place")).where("start >= 0")
+    full = found.groupBy("doc_id", "hash", "all", "license", "run", "length", "start").agg(F.countDistinct("place").alias("places")).where("places = length")
+    return full.select("doc_id", "hash", (F.col("all") == F.col("length")).alias("whole"), "license")
+
+
 def licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, is_license, licenses) of every document: whether the whole text is one, and all that it holds, sorted, comma-joined."""
-    found = hits(docs, id_col, text_col).groupBy("doc_id", "hash").agg(F.max(F.col("unit") == 0).alias("whole"), F.array_join(F.array_sort(F.collect_set("license")), ",").alias("licenses"))
+    both = hits(docs, id_col, text_col).select("doc_id", "hash", (F.col("unit") == 0).alias("whole"), "license").unionByName(runs(docs, id_col, text_col))
+    found = both.groupBy("doc_id", "hash").agg(F.max("whole").alias("whole"), F.array_join(F.array_sort(F.collect_set("license")), ",").alias("licenses"))
     slim = docs.select(F.col(id_col).alias("_id"), F.xxhash64(text_of(text_col)).alias("_hash"))
     both = slim.join(found, slim["_id"].eqNullSafe(found["doc_id"]) & (slim["_hash"] == found["hash"]), "left")
     return both.select(F.col("_id").alias("doc_id"), F.coalesce("whole", F.lit(False)).alias("is_license"), F.coalesce("licenses", F.lit("")).alias("licenses"))

@@ -7,6 +7,7 @@ import itertools
 import math
 import random
 import re
+import textwrap
 import zlib
 from collections import Counter, defaultdict
 from urllib.parse import quote
@@ -406,6 +407,28 @@ def test_licenses_in_other_spellings(spark):
     assert got == {0: (True, "MIT"), 1: (False, "MIT"), 2: (False, ""), 3: (False, ""), 4: (False, ""), 5: (False, "")}
 
 
+def test_licenses_of_several_paragraphs(spark):
+    own = {x.name.removesuffix(".txt"): x.read_text(encoding="utf-8") for x in licenses.TEXTS.glob("*.txt")}
+    mit, bsd, isc = own["MIT"], own["BSD-3-Clause"], own["ISC"]
+    wrapped = "\n\n".join(textwrap.fill(x, 60) for x in bsd.split("\n\n")).replace("the copyright holder nor", "ACME, Inc. nor")
+    noted = "/*\n" + "\n".join(f" * {x}".rstrip() for x in f"Copyright (c) Jo Doe\n\n{isc}".split("\n")) + "\n */\nint main;"
+    want = {
+        f"MIT License\n\nCopyright (c) 2020 Jo Doe\n\n{mit}": (True, "MIT"),
+        f"The MIT License (MIT)\nCopyright (c) Jo Doe\n{mit}": (True, "MIT"),
+        f"# Readme\n\nAbout this.\n\n{mit}\n\nThe end, {isc}\n\n{isc}": (False, "ISC,MIT"),
+        f"Copyright Jo Doe. All rights reserved.\n\n{wrapped}": (True, "BSD-3-Clause"),
+        own["BSD-2-Clause"].replace("\n\n", "\n"): (True, "BSD-2-Clause"),
+        noted: (False, "ISC"),
+        mit.replace("\n\nTHE SOFTWARE", "\n\nNot so.\n\nTHE SOFTWARE"): (False, ""),
+        own["Apache-2.0.notice"]: (True, "Apache-2.0"),
+        **{own[k]: (True, k) for k in ("GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "Apache-2.0", "CC0-1.0", "Unlicense")},
+        f"Before\n\n{own['GPL-3.0'].partition(licenses.END_OF_TERMS)[0]}\n\nafter": (False, "GPL-3.0"),
+    }
+    got = {r["doc_id"]: (r["is_license"], r["licenses"]) for r in rows(licenses.licenses(table(spark, list(want))))}
+    for i, (text, (whole, names)) in enumerate(want.items()):
+        assert got[i][0] == whole and got[i][1] == names, (text[:200], got[i])
+
+
 def test_licenses_odd(odd):
     assert len(rows(licenses.licenses(odd))) == 12
 
