@@ -2,8 +2,10 @@
 
 A document is a worklist of layers, the text itself first. Each layer is scanned with the same
 patterns and unwrapped in every way that applies: percent escapes, Unicode and character
-references, base64 runs, and compressed data inside base64. What comes out is a new layer unless
-its text has been seen in this document before (so cycles end), until none is new. Every layer
+references, and base64 runs, also over line breaks. Bytes are layers too: they are inflated, all
+members, as often as they are compressed, and what is valid in them is read as text. What comes
+out is a new layer unless it has been seen at this place of the document before (so cycles end),
+until none is new. Every layer
 keeps, for each of its characters, the stretch of the document that it stands for, so that a find
 in any layer is a span of the document.
 
@@ -16,8 +18,10 @@ from __future__ import annotations
 
 import base64
 import binascii
+import codecs
 import re
 from collections.abc import Iterator
+from urllib.parse import unquote_to_bytes
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,6 +36,13 @@ PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 UNICODE = re.compile(r"(?:\\u[0-9A-Fa-f]{4})+|\\u\{[0-9A-Fa-f]{1,6}\}|\\U[0-9A-Fa-f]{8}|(?:\\x[0-9A-Fa-f]{2})+|&#(?:[0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});")
 BASE64 = re.compile(r"[A-Za-z0-9+/]{16,}={0,2}")
 BASE64_URL = re.compile(r"[A-Za-z0-9_-]{16,}={0,2}")
+WRAPPED = re.compile(r"[A-Za-z0-9+/]{16,}(?:\r?\n[ \t]*[A-Za-z0-9+/]+)+={0,2}")
+WRAPPED_URL = re.compile(r"[A-Za-z0-9_-]{16,}(?:\r?\n[ \t]*[A-Za-z0-9_-]+)+={0,2}")
+#: Escaped bytes with the plain characters around them, as escapes are written only where needed.
+PERCENT_BYTES, ESCAPED_BYTES = re.compile(r"[!-~]+"), re.compile(r"[ -~]+")
+#: How compressed data starts; what bytes without any secret or further layer lack.
+MAGIC = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9]1AY&SY|\xfd7zXZ\x00|\x28\xb5\x2f\xfd")
+SHOWN = re.compile(rb"[\t\r\n -~]{8}")
 MOST_INFLATED = 64 << 20
 
 SPANS = "doc_id {kind}, spans array<struct<kind: string, start: long, end: long, base: boolean, layer: string>>, unopened int"
@@ -89,12 +100,20 @@ class Layer:
         return Layer("".join(parts), starts, ends, f"{self.name}/{name}")
 
 
+def characters(data: bytes) -> list[tuple[str | None, int]]:
+    """The characters of UTF-8 bytes and how many bytes each takes; None for a byte that isn't of one."""
+    return [(None, 1) if "\udc80" <= c <= "\udcff" else (c, len(c.encode())) for c in data.decode("utf-8", "surrogateescape")]
+
+
 def percent_pieces(run: str) -> list[tuple[str, int]] | None:
-    try:
-        text = bytes.fromhex(run.replace("%", "")).decode()
-    except UnicodeDecodeError:
+    at, out = 0, []
+    found = characters(bytes.fromhex(run.replace("%", "")))
+    if all(c is None for c, _ in found):
         return None
-    return [(c, 3 * len(c.encode())) for c in text]
+    for c, n in found:
+        out.append((run[at : at + 3] if c is None else c, 3 * n))
+        at += 3 * n
+    return out
 
 
 def unicode_pieces(run: str) -> list[tuple[str, int]] | None:
@@ -126,108 +145,185 @@ class Bomb(Exception):
     pass
 
 
-def inflated(data: bytes) -> bytes | None:
-    """What gzip, zlib, bzip2, xz or zstd data holds; None if it is none of them."""
+def machine_for(data: bytes):
+    """A decompressor for how the data starts; None if it isn't compressed."""
     import bz2
     import lzma
     import zlib
 
+    if data[:2] == b"\x1f\x8b":
+        return zlib.decompressobj(31)
+    if data[:1] == b"\x78" and len(data) > 2 and (data[0] << 8 | data[1]) % 31 == 0:
+        return zlib.decompressobj()
+    if data[:3] == b"BZh":
+        return bz2.BZ2Decompressor()
+    if data[:6] == b"\xfd7zXZ\x00":
+        return lzma.LZMADecompressor()
+    return None
+
+
+def unframed(data: bytes) -> bytes:
+    """What the frames of zstd data hold, as far as they are sound."""
+    import zstandard
+
+    out = bytearray()
+    reader = zstandard.ZstdDecompressor().stream_reader(data, read_across_frames=True)
     try:
-        if data[:2] == b"\x1f\x8b":
-            machine = zlib.decompressobj(31)
-        elif data[:1] == b"\x78" and len(data) > 2 and (data[0] << 8 | data[1]) % 31 == 0:
-            machine = zlib.decompressobj()
-        elif data[:3] == b"BZh":
-            machine = bz2.BZ2Decompressor()
-        elif data[:6] == b"\xfd7zXZ\x00":
-            machine = lzma.LZMADecompressor()
-        elif data[:4] == b"\x28\xb5\x2f\xfd":
-            import zstandard
-
-            out = zstandard.ZstdDecompressor().stream_reader(data).read(MOST_INFLATED + 1)
+        while part := reader.read(1 << 16):
+            out += part
             if len(out) > MOST_INFLATED:
                 raise Bomb
-            return out
-        else:
-            return None
-        out = machine.decompress(data, MOST_INFLATED + 1)
-    except Bomb:
-        raise
-    except Exception:  # not such data after all
-        return None
-    if len(out) > MOST_INFLATED:
-        raise Bomb
-    return out
+    except zstandard.ZstdError:
+        pass
+    return bytes(out)
 
 
-def plain(data: bytes) -> str | None:
-    """The bytes as text, if they are one."""
-    try:
-        text = data.decode()
-    except UnicodeDecodeError:
-        return None
-    shown = sum(c.isprintable() or c in "\t\r\n" for c in text)
-    return text if text and shown * 10 >= len(text) * 9 else None
+def inflated(data: bytes) -> bytes | None:
+    """What gzip, zlib, bzip2, xz or zstd data holds, all members and what follows them, as far as it is sound; None if it is none of them."""
+    if data[:4] == b"\x28\xb5\x2f\xfd":
+        return unframed(data) or None
+    out = bytearray()
+    members = 0
+    while data and (machine := machine_for(data)) is not None:
+        before, ended = len(out), False
+        try:
+            for at in range(0, len(data), 4096):
+                chunk = data[at : at + 4096]
+                while True:
+                    out += machine.decompress(chunk, MOST_INFLATED + 1 - len(out))
+                    if len(out) > MOST_INFLATED:
+                        raise Bomb
+                    chunk = getattr(machine, "unconsumed_tail", b"")
+                    if not chunk or machine.eof:
+                        break
+                if machine.eof:
+                    data, ended = machine.unused_data + data[at + 4096 :], True
+                    break
+        except Bomb:
+            raise
+        except Exception:  # unsound from here on
+            pass
+        members += ended or len(out) > before
+        if not ended:
+            return bytes(out) if members else None
+        data = data.lstrip(b"\0")
+    return bytes(out) + data if members else None
+
+
+class Bytes:
+    """Decoded bytes, the stretch of the document that all stand for, and where known those of each byte."""
+
+    def __init__(self, data: bytes, span: tuple[int, int], name: str, each=None):
+        self.data, self.whole, self.name, self.each = data, span, name, each
+
+    def opened(self) -> Bytes | Layer | None:
+        unpacked = inflated(self.data)
+        if unpacked is not None:
+            return Bytes(unpacked, self.whole, f"{self.name}/compressed")
+        if not SHOWN.search(self.data):
+            return None
+        chars, starts, ends, at = [], [], [], 0
+        for c, n in characters(self.data):
+            a, b = self.each(at, at + n) if self.each else self.whole
+            chars.append("\ufffd" if c is None else c)
+            starts.append(a)
+            ends.append(b)
+            at += n
+        return Layer("".join(chars), starts, ends, self.name)
 
 
-def base64_layers(layer: Layer) -> Iterator[Layer | None]:
-    """A layer for each run that decodes to text or to compressed text; None for a bomb."""
-    runs = [(m, None) for m in BASE64.finditer(layer.text)]
-    if "-" in layer.text or "_" in layer.text:
-        runs += [(m, b"-_") for m in BASE64_URL.finditer(layer.text) if "-" in m[0] or "_" in m[0]]
-    for m, other in runs:
-        body = m[0].rstrip("=")
+def base64_runs(text: str) -> Iterator[tuple[list[int] | range, str, bytes | None]]:
+    """(places, characters, other alphabet) of the runs, and of runs over line breaks as a whole and by lines of one width."""
+    other = "-" in text or "_" in text
+    for pattern, wrapped, alphabet in ((BASE64, WRAPPED, None), (BASE64_URL, WRAPPED_URL, b"-_")):
+        if alphabet and not other:
+            continue
+        for m in pattern.finditer(text):
+            if not alphabet or "-" in m[0] or "_" in m[0]:
+                yield range(m.start(), m.end()), m[0], alphabet
+        for m in wrapped.finditer(text) if "\n" in text else ():
+            if alphabet and "-" not in m[0] and "_" not in m[0]:
+                continue
+            lines = [(m.start() + x.start(), m.start() + x.end()) for x in re.finditer(r"[^\s]+", m[0])]
+            groups, i = [(0, len(lines))], 0
+            while i < len(lines):
+                width, j = lines[i][1] - lines[i][0], i + 1
+                while j < len(lines) and lines[j][1] - lines[j][0] == width:
+                    j += 1
+                if j < len(lines) and lines[j][1] - lines[j][0] < width:
+                    groups.append((i, j + 1))
+                groups.append((i, j))
+                i = j
+            for i, j in dict.fromkeys(groups):
+                if j > i + 1:
+                    places = [k for a, b in lines[i:j] for k in range(a, b)]
+                    yield places, "".join(text[a:b] for a, b in lines[i:j]), alphabet
+
+
+def base64_layers(layer: Layer) -> Iterator[Bytes]:
+    """The bytes of each run."""
+    for places, run, other in base64_runs(layer.text):
+        body = run.rstrip("=")
         if len(body) % 4 == 1:
             body = body[:-1]
         try:
             data = base64.b64decode(body + "=" * (-len(body) % 4), altchars=other)
         except (binascii.Error, ValueError):
             continue
-        name, text = "base64", plain(data)
-        if text is not None:
-            at, starts, ends = 0, [], []
-            for c in text:
-                n = len(c.encode())
-                a, b = layer.span(m.start() + at * 4 // 3, m.start() + min(len(body), -((at + n) * 4 // -3)))
-                starts.append(a)
-                ends.append(b)
-                at += n
-        else:
-            try:
-                unpacked = inflated(data)
-            except Bomb:
-                yield None
+
+        def each(at: int, end: int, places=places, length=len(body)) -> tuple[int, int]:
+            return layer.span(places[at * 4 // 3], places[min(length, -(end * 4 // -3)) - 1] + 1)
+
+        yield Bytes(data, layer.span(places[0], places[-1] + 1), f"{layer.name}/base64", each)
+
+
+def escaped_layers(layer: Layer) -> Iterator[Bytes]:
+    """Compressed data whose bytes are escaped."""
+    for mark, pattern, name in (("%", PERCENT_BYTES, "url"), ("\\x", ESCAPED_BYTES, "unicode")):
+        for m in pattern.finditer(layer.text) if mark in layer.text else ():
+            if mark not in m[0]:
                 continue
-            text = plain(unpacked) if unpacked else None
-            if text is None:
+            try:
+                data = unquote_to_bytes(m[0]) if mark == "%" else codecs.escape_decode(m[0].rstrip("\\").encode())[0]
+            except ValueError:
                 continue
-            name, (a, b) = "base64/compressed", layer.span(m.start(), m.end())
-            starts, ends = [a] * len(text), [b] * len(text)
-        yield Layer(text, starts, ends, f"{layer.name}/{name}")
+            for start in MAGIC.finditer(data):
+                yield Bytes(data[start.start() :], layer.span(m.start(), m.end()), f"{layer.name}/{name}")
 
 
 def find(text: str) -> tuple[list[tuple[str, int, int, bool, str]], int]:
     """All spans of one document, sorted, and the number of bombs left unopened."""
     found: dict[tuple[int, int, int], tuple[bool, str]] = {}
-    work, seen, bombs = [Layer(text)], {text}, 0
+    work: list[Layer | Bytes] = [Layer(text)]
+    seen: set[tuple[str | bytes, int, int]] = {(text, 0, len(text))}
+    bombs = 0
     while work:
         layer = work.pop()
-        for kind, start, end in scan(layer.text):
-            a, b = layer.span(start, end)
-            key = (a, KINDS.index(kind), b)
-            if key not in found or layer.starts is None:
-                found[key] = (layer.starts is None, layer.name)
-        new = []
-        if "%" in layer.text:
-            new.append(layer.replaced(PERCENT, percent_pieces, "url"))
-        if "\\" in layer.text or "&#" in layer.text:
-            new.append(layer.replaced(UNICODE, unicode_pieces, "unicode"))
-        for x in base64_layers(layer):
-            bombs += x is None
-            new.append(x)
+        if isinstance(layer, Bytes):
+            try:
+                new = [layer.opened()]
+            except Bomb:
+                bombs += 1
+                continue
+        else:
+            for kind, start, end in scan(layer.text):
+                a, b = layer.span(start, end)
+                key = (a, KINDS.index(kind), b)
+                if key not in found or layer.starts is None:
+                    found[key] = (layer.starts is None, layer.name)
+            new = []
+            if "%" in layer.text:
+                new.append(layer.replaced(PERCENT, percent_pieces, "url"))
+            if "\\" in layer.text or "&#" in layer.text:
+                new.append(layer.replaced(UNICODE, unicode_pieces, "unicode"))
+            new += base64_layers(layer)
+            new += escaped_layers(layer)
         for x in new:
-            if x is not None and x.text not in seen:
-                seen.add(x.text)
+            if x is None:
+                continue
+            content, place = (x.data, x.whole) if isinstance(x, Bytes) else (x.text, x.span(0, len(x.text)) if x.text else (0, 0))
+            if (content, *place) not in seen:
+                seen.add((content, *place))
                 work.append(x)
     return [(KINDS[k], a, b, base, name) for (a, k, b), (base, name) in sorted(found.items())], bombs
 

@@ -1,9 +1,11 @@
 """Operators for training data against brute force, and what they do with odd input."""
 
 import base64
+import bz2
 import gzip
 import hashlib
 import itertools
+import lzma
 import math
 import random
 import re
@@ -204,6 +206,32 @@ def test_secrets_in_layers(name):
     assert all(len(before) <= s[1] < s[2] <= len(before) + len(LAYERS[name]) for s in hits)
 
 
+NOISE = bytes(random.Random(1).randrange(256) for _ in range(300))
+LINES = ("some words of a letter\n" * 9 + SECRET + "\n").encode()
+BYTE_LAYERS = {
+    "twice packed": base64.b64encode(gzip.compress(zlib.compress(SECRET.encode()))).decode(),
+    "second gzip": base64.b64encode(gzip.compress(b"first ") + gzip.compress(SECRET.encode())).decode(),
+    "second bz2": base64.b64encode(bz2.compress(b"first ") + bz2.compress(SECRET.encode())).decode(),
+    "second xz": base64.b64encode(lzma.compress(b"first ") + lzma.compress(SECRET.encode())).decode(),
+    "after the member": base64.b64encode(gzip.compress(b"first ") + SECRET.encode()).decode(),
+    "percent packed": quote(gzip.compress(SECRET.encode()), safe=""),
+    "escapes packed": "".join(f"\\x{b:02x}" for b in zlib.compress(SECRET.encode())),
+    "base64 64": "\n".join(textwrap.wrap(base64.b64encode(b"x" * 35 + b" " + SECRET.encode() + b" " * 40).decode(), 64)),
+    "base64 76": "\r\n".join(textwrap.wrap(base64.b64encode(gzip.compress(NOISE + LINES)).decode(), 76)),
+    "percent with a byte": "%FF" + "".join(f"%{b:02x}" for b in SECRET.encode()) + "%FE",
+    "base64 with bytes": base64.b64encode(NOISE[:30] + SECRET.encode() + NOISE[30:60]).decode(),
+}
+
+
+@pytest.mark.parametrize("name", BYTE_LAYERS)
+def test_secrets_in_byte_layers(name):
+    before = "Ünïcödé \U0001f600 before: "
+    spans, unopened = secrets.find(f"{before}\n{BYTE_LAYERS[name]}\n\nand after")
+    hits = [s for s in spans if s[0] == "assign" and not s[3]]
+    assert unopened == 0 and hits
+    assert all(len(before) < s[1] < s[2] <= len(before) + 1 + len(BYTE_LAYERS[name]) for s in hits)
+
+
 def test_secrets_end_on_cycles_and_bombs():
     layer = "%2525252525252541 token%3Dabcdef12345"
     assert any(s[0] == "assign" for s in secrets.find(layer)[0])
