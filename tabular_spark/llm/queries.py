@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabular_spark.llm import bpe, centroids, divergence, exact_dedup, fingerprints, html_wrappers, licenses, mixing, quality, secrets, sharding, similarity_join
+from tabular_spark.llm import bpe, centroids, divergence, exact_dedup, fingerprints, html_wrappers, licenses, mixing, quality, secrets, sharding, similarity_join, token_files
 from tabular_spark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -20,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": lambda spark, sf: exact_dedup.exact_dedup(table(spark, sf, "documents")),
     "op9_quality": lambda spark, sf: quality.op9(table(spark, sf, "documents"), table(spark, sf, "labels")),
     "op10_mixing": lambda spark, sf: mixing.op10(table(spark, sf, "documents")),
+    "op11_token_files": lambda spark, sf: token_files.op11(table(spark, sf, "documents")),
     "op12_centroids": lambda spark, sf: centroids.op12(table(spark, sf, "embeddings")),
     "op13_divergence": lambda spark, sf: divergence.op13(table(spark, sf, "documents")),
 }
