@@ -28,12 +28,13 @@ from __future__ import annotations
 
 import struct
 import uuid
+from array import array
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabular_spark.llm.bpe import REMEMBERED, LONGEST, ForcedBoundaryCodec
+from tabular_spark.llm.bpe import LONGEST, REMEMBERED, ForcedBoundaryCodec
 from tabular_spark.llm.common import removed, shared_dir, stored, text_of
 from tabular_spark.llm.sharding import bucket_offsets
 
@@ -57,18 +58,15 @@ class StretchEncoder(ForcedBoundaryCodec):
         return np.flatnonzero(cut) + 1
 
     def packed(self, fragments: list[bytes]) -> list[bytes]:
-        new = [f for f in fragments if f not in self.ids]
+        found = list(map(self.ids.get, fragments))
+        new = [i for i, ids in enumerate(found) if ids is None]
         if len(self.ids) + len(new) > REMEMBERED:
-            self.ids = {}
-            new = fragments
-        found = {}
-        if new:
-            import numpy as np
-
-            for fragment, x in zip(new, self.tokenizer.encode_batch_fast([f.decode() for f in new], add_special_tokens=False)):
-                found[fragment] = np.array(x.ids, np.uint32).tobytes()
-            self.ids.update((f, ids) for f, ids in found.items() if len(f) <= LONGEST)
-        return [self.ids[f] if f in self.ids else found[f] for f in fragments]
+            self.ids = {}  # what is known of this stretch need not be encoded again
+            self.ids.update((f, ids) for f, ids in zip(fragments, found) if ids is not None)
+        for i, x in zip(new, self.tokenizer.encode_batch_fast([fragments[i].decode() for i in new], add_special_tokens=False)):
+            found[i] = array("I", x.ids).tobytes()
+        self.ids.update((fragments[i], found[i]) for i in new if len(fragments[i]) <= LONGEST)
+        return found
 
     def encode(self, raw, at):
         """(ids, ends): the ids of ``raw`` cut at ``at`` (from 0 to its length), and where those of each fragment end, 0 first."""
@@ -109,7 +107,9 @@ class StretchEncoder(ForcedBoundaryCodec):
                 raw, cuts = data[start:stop], cuts[:-1]
             upto = int(np.searchsorted(offsets, stop, "right")) - 1  # documents before it end here or earlier
             borders = np.asarray(offsets[done + 1 : upto + 1], np.int64) - start
-            at = np.unique(np.concatenate([[0], cuts, borders[borders < len(raw)], [len(raw)]])) if len(raw) else np.zeros(1, np.int64)
+            marks = np.zeros(len(raw) + 1, bool)
+            marks[0] = marks[-1] = marks[cuts] = marks[borders] = True
+            at = np.flatnonzero(marks)
             ids, ends = self.encode(raw, at)
             places = ends[np.searchsorted(at, borders)]
             lengths = np.diff(places, prepend=0) + 1
