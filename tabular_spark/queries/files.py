@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabular_spark import clean, model, split, storage
+from tabular_spark import clean, csv_scan, model, split, storage
 from tabular_spark.queries.profiling import all_checks, checked_sql
-from tabular_spark.queries.registry import query, table
+from tabular_spark.queries.registry import OFFERS, offers, query, table
 from tabular_spark.queries.splitting import THREE, choice_sql
 
 
@@ -15,8 +15,24 @@ from tabular_spark.queries.splitting import THREE, choice_sql
 def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "lang", "text")
     path = storage.new_folder(spark, "csv")
-    storage.write_csv(docs.repartition(8, "doc_id"), path)  # files with line breaks in fields are read by one task each
-    return storage.read_csv(spark, path, "doc_id long, lang string, text string", multi_line=True)
+    storage.write_csv(docs, path)
+    return csv_scan.read_csv_blocks(spark, path, "doc_id long, lang string, text string")
+
+
+@query(f"WITH {OFFERS} SELECT id, zone, reply, seats, rooms, min_days, rating, nullif(price_text, '') AS price_text FROM offers")
+def csv_inferred(spark: SparkSession, sf: str) -> DataFrame:
+    path = storage.new_folder(spark, "csv")
+    storage.write_csv(offers(spark, sf).withColumn("price_text", F.nullif("price_text", F.lit(""))), path)
+    return csv_scan.read_csv_blocks(spark, path)
+
+
+@query("SELECT * FROM (VALUES ('l_orderkey', 'int'), ('l_quantity', 'double'), ('l_returnflag', 'string'), ('l_shipdate', 'timestamp_ntz'), ('is_late', 'boolean'), ('nothing', 'string')) t(name, type)")
+def csv_types(spark: SparkSession, sf: str) -> DataFrame:
+    path = storage.new_folder(spark, "csv")
+    late = table(spark, sf, "lineitem").select("l_orderkey", "l_quantity", "l_returnflag", "l_shipdate", (F.col("l_tax") > 0.05).alias("is_late"), F.lit(None).cast("string").alias("nothing"))
+    storage.write_csv(late, path)
+    found = csv_scan.read_csv_blocks(spark, path)
+    return clean.schema_frame(found, clean.type_table(found), "name string, type string")
 
 
 @query("SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey % 2 = 0")
@@ -55,7 +71,7 @@ def results_log(spark: SparkSession, sf: str) -> DataFrame:
     path, found = storage.new_folder(spark, "results"), all_checks(spark, sf)
     for part in (found.where(F.col("name").like("orders%")), found.where(~F.col("name").like("orders%"))):
         storage.write_csv(part.select("name", F.col("passed").cast("double").alias("value")), path, mode="append")
-    return storage.read_csv(spark, path, "name string, value double", multi_line=False)
+    return storage.read_csv(spark, path, "name string, value double")
 
 
 @query(f"""WITH s AS (SELECT *, {choice_sql('l_orderkey', THREE)} AS split FROM lineitem),

@@ -49,9 +49,9 @@ def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     df.write.mode(mode).options(**CSV).csv(path)
 
 
-def read_csv(spark: SparkSession, path: str, ddl: str, multi_line: bool) -> DataFrame:
-    """``multi_line`` allows line breaks in fields, at the price of one task per file."""
-    return spark.read.schema(ddl).options(**CSV, multiLine=multi_line).csv(path)
+def read_csv(spark: SparkSession, path: str, ddl: str) -> DataFrame:
+    """For files without line breaks in fields; ``csv_scan.read_csv_blocks`` reads those that have them, block by block."""
+    return spark.read.schema(ddl).options(**CSV).csv(path)
 
 
 def save_model(model: PipelineModel, path: str, example: DataFrame | None = None, rows: int = 5) -> None:
