@@ -37,9 +37,9 @@ def without_nulls(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     return df.na.drop(how="any", subset=columns)
 
 
-def medians(df: DataFrame, columns: list[str], accuracy: int = 10_000) -> dict[str, Any]:
+def medians(df: DataFrame, columns: list[str]) -> dict[str, Any]:
     """The exact lower median of each column."""
-    return {c: v[0] for c, v in exact_quantiles(df, columns, [0.5], accuracy).items()}
+    return {c: v[0] for c, v in exact_quantiles(df, columns, [0.5]).items()}
 
 
 def means(df: DataFrame, columns: list[str]) -> dict[str, Any]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabular_spark import checks, clean, profile
+from tabular_spark import checks, clean, profile, storage
 from tabular_spark.queries.registry import OFFERS, offers, query, table
 
 #: SQL for the types of a table, in the names that Spark gives them.
@@ -138,6 +138,34 @@ def table_profile(spark: SparkSession, sf: str) -> DataFrame:
     return profile.profile(offers(spark, sf)).drop("distinct_about")
 
 
+OFFER_KINDS = {"id": "number", "zone": "text", "reply": "text", "seats": "number", "rooms": "number", "min_days": "number", "rating": "number", "price_text": "text"}
+QUARTILES = " UNION ALL ".join(f"SELECT '{c}' AS \"column\", quantile_disc({c}, 0.25)::double AS q25, quantile_disc({c}, 0.5)::double AS q50, quantile_disc({c}, 0.75)::double AS q75 FROM offers" for c, k in OFFER_KINDS.items() if k == "number")
+
+
+@query(f"WITH {OFFERS}, p AS ({profiled(OFFER_KINDS)}), q AS ({QUARTILES}) SELECT * FROM p LEFT JOIN q USING (\"column\")")
+def profile_quartiles(spark: SparkSession, sf: str) -> DataFrame:
+    return profile.profile_with_quartiles(offers(spark, sf)).drop("distinct_about")
+
+
+def merged_states(spark: SparkSession, sf: str) -> DataFrame:
+    """The sketches of three parts of the table, one of them told twice, merged without their rows."""
+    path, rows = storage.new_folder(spark, "states"), offers(spark, sf)
+    for part in (0, 1, 1, 2):
+        profile.append_state(rows.where(F.col("id") % 3 == part), path, f"part-{part}")
+    return profile.merged(profile.states(spark, path))
+
+
+@query(f"WITH {OFFERS} " + profiled(OFFER_KINDS))
+def profile_merged(spark: SparkSession, sf: str) -> DataFrame:
+    return profile.profile_of(merged_states(spark, sf)).select("column", "n", "nulls", "empties", "mean", "deviation", "low", "high")
+
+
+@query(f"WITH {OFFERS} " + " UNION ALL ".join(f"SELECT '{c}' AS \"column\", {c}::varchar AS value, count(*) AS n FROM offers WHERE {c} IS NOT NULL GROUP BY ALL" for c in ("zone", "reply", "seats", "rooms")))
+def profile_frequent(spark: SparkSession, sf: str) -> DataFrame:
+    found = profile.profile_of(merged_states(spark, sf).where(F.col("column").isin("zone", "reply", "seats", "rooms")), top=10)
+    return found.select("column", F.explode("top").alias("t")).select("column", "t.value", F.col("t.count").alias("n"))
+
+
 @query("""SELECT CAST(CASE WHEN o_totalprice < 100000 THEN 0 WHEN o_totalprice >= 400000 THEN 11 ELSE floor((o_totalprice - 100000) / 30000) + 1 END AS int) AS bucket, count(*) AS n
     FROM orders WHERE o_totalprice IS NOT NULL GROUP BY 1""")
 def histogram(spark: SparkSession, sf: str) -> DataFrame:

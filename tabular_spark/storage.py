@@ -1,12 +1,11 @@
-"""Tables and models as files: versions, CSV and saved pipelines."""
+"""Tables and models as files: scratch tables, CSV and saved pipelines."""
 
 from __future__ import annotations
 
 import uuid
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 
 #: Nulls are written as \\N, so that empty texts stay empty texts; a text of just that reads as null.
@@ -26,24 +25,6 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def write_version(df: DataFrame, base: str, version: int) -> None:
-    """Writes one version; the caller gives its number. A version is never written twice, and no plan may read what it overwrites."""
-    df.write.mode("errorifexists").parquet(f"{base}/version={version}")
-
-
-def read_version(spark: SparkSession, base: str, version: int) -> DataFrame:
-    return spark.read.parquet(f"{base}/version={version}")
-
-
-def read_all_versions(spark: SparkSession, base: str) -> DataFrame:
-    """All versions, with their number as a column; columns that a version lacks are null."""
-    return spark.read.option("mergeSchema", "true").parquet(base)
-
-
-def history(spark: SparkSession, base: str, *measures: Column) -> DataFrame:
-    return read_all_versions(spark, base).groupBy(F.col("version").cast("int").alias("version")).agg(F.count("*").alias("n"), *measures)
-
-
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """CSV with a header; quotes are doubled, so that commas, quotes and line breaks inside of fields survive."""
     df.write.mode(mode).options(**CSV).csv(path)

@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tabular_spark import checks, clean, features, model, profile, runs, split, storage
+from tabular_spark import checks, clean, csv_scan, features, model, profile, runs, split, storage, versions
 from tabular_spark.quantile import exact_quantiles, quantile
 from tabular_spark.queries import QUERIES
 
@@ -17,12 +17,12 @@ def lower_quantile(values, share):
 
 
 @pytest.mark.parametrize("values", [[5.0], [1.0] * 500 + [2.0], list(range(1000)), [0] * 400 + list(range(600)), [-1.5, None, 2.5, None]])
-@pytest.mark.parametrize("accuracy", [3, 100])
-def test_exact_quantiles(spark, values, accuracy):
+@pytest.mark.parametrize("k", [8, 4096])
+def test_exact_quantiles(spark, values, k):
     df = spark.createDataFrame([(None if v is None else float(v),) for v in values], "v double")
     shares = [0.0, 0.25, 0.5, 0.75, 1.0]
     full = [float(v) for v in values if v is not None]
-    assert exact_quantiles(df, ["v"], shares, accuracy)["v"] == [lower_quantile(full, p) for p in shares]
+    assert exact_quantiles(df, ["v"], shares, k)["v"] == [lower_quantile(full, p) for p in shares]
 
 
 def test_quantiles_of_nothing(spark):
@@ -165,15 +165,14 @@ def test_csv_keeps_quotes_commas_and_line_breaks(spark):
     rows = [(1, 'a "b", c'), (2, "two\nlines, and \"quotes\""), (3, ""), (4, " edge "), (5, None)]
     path = storage.new_folder(spark, "csv")
     storage.write_csv(spark.createDataFrame(rows, "id int, t string"), path)
-    assert sorted(map(tuple, storage.read_csv(spark, path, "id int, t string", True).collect())) == rows
+    assert sorted(map(tuple, csv_scan.read_csv_blocks(spark, path, "id int, t string").collect())) == rows
 
 
 def test_a_version_is_never_written_twice(spark):
     base = storage.new_folder(spark, "v")
-    storage.write_version(spark.range(3), base, 0)
-    with pytest.raises(Exception, match="already exists"):
-        storage.write_version(spark.range(4), base, 0)
-    assert storage.read_version(spark, base, 0).count() == 3
+    assert versions.write_version(spark.range(3), base) == 0
+    assert versions.write_version(spark.range(4), base) == 1
+    assert versions.read_version(spark, base, 0).count() == 3
 
 
 def test_schema_checks_fail_under_the_same_name(spark):
@@ -195,3 +194,57 @@ def test_entry(spark):
 
     assert entry.entry(spark).count() == 5
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_quantiles_of_large_values_dates_and_nan(spark):
+    import datetime
+
+    big = 1 << 60
+    rows = [(big + i, datetime.date(2020, 1, 1) + datetime.timedelta(days=i), datetime.datetime(2020, 1, 1, 0, 0, i), float("nan") if i > 50 else float(i), float("inf")) for i in range(60)]
+    df = spark.createDataFrame(rows, "b long, d date, t timestamp_ntz, x double, y double").repartition(3)
+    got = exact_quantiles(df, ["b", "d", "t", "x", "y"], [0.25, 0.5, 1.0], 8)
+    assert got["b"] == [big + 14, big + 29, big + 59] and got["d"][1] == rows[29][1] and got["t"][0] == rows[14][2]
+    assert got["x"][:2] == [14.0, 29.0] and math.isnan(got["x"][2]) and got["y"] == [float("inf")] * 3
+
+
+def test_quantiles_scan_the_source_three_times(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    draw = random.Random(4)
+    rows = [(draw.gauss(0, 1), draw.randrange(1 << 40), draw.randrange(3)) for _ in range(3000)]
+    df = spark.createDataFrame(rows, "a double, b long, c int")
+    counted = df.mapInArrow(count, df.schema)
+    got = exact_quantiles(counted, ["a", "b", "c"], [0.1, 0.5, 0.9], 256)
+    assert got == {c: [lower_quantile([r[i] for r in rows], p) for p in (0.1, 0.5, 0.9)] for i, c in enumerate("abc")}
+    assert seen.value <= 3 * len(rows)
+
+
+def test_merged_sketches_say_what_sketches_of_the_whole_say(spark):
+    draw = random.Random(6)
+    rows = [(draw.gauss(5, 2), draw.choice("aaabbc"), draw.randrange(10_000), None if i % 7 else i) for i in range(9000)]
+    df = spark.createDataFrame(rows, "x double, s string, k int, mostly int").repartition(4)
+    exact = ("column", "n", "nulls", "empties", "low", "high", "distinct_about")
+    whole = profile.profile_of(profile.sketches(df, k=400))
+    halves = profile.merged(profile.sketches(df.where("k % 2 = 0"), k=400).unionByName(profile.sketches(df.where("k % 2 = 1"), k=400)))
+    parts = {r["column"]: r for r in profile.profile_of(halves).collect()}
+    for r in whole.collect():
+        assert [r[c] for c in exact] == [parts[r["column"]][c] for c in exact]
+        assert r["mean"] == pytest.approx(parts[r["column"]]["mean"], abs=1e-3) if r["mean"] is not None else parts[r["column"]]["mean"] is None
+    assert [(t.value, t["count"]) for t in parts["s"].top] == [(v, sum(r[1] == v for r in rows)) for v in "abc"]
+    xs = sorted(r[0] for r in rows)
+    for share, value in zip((0.25, 0.5, 0.75), parts["x"].quantiles):
+        assert abs(sum(x <= value for x in xs) / len(xs) - share) < 0.03
+    width = (xs[-1] - xs[0]) / 10
+    assert all(abs(b - sum(x <= xs[0] + width * (i + 1) for x in xs)) < 0.03 * len(xs) for i, b in enumerate(parts["x"].buckets))
+
+
+def test_states_of_nothing(spark, tmp_path):
+    profile.append_state(spark.createDataFrame([], "x double, s string"), str(tmp_path), "a")
+    profile.append_state(spark.createDataFrame([(1.0, "v")], "x double, s string"), str(tmp_path), "b")
+    got = {r["column"]: r for r in profile.profile_of(profile.merged(profile.states(spark, str(tmp_path)))).collect()}
+    assert (got["x"].n, got["x"]["mean"], got["x"].quantiles) == (1, 1.0, [1.0, 1.0, 1.0])
