@@ -124,8 +124,8 @@ def sketches(df: DataFrame, k: int = 4096, tracked: int = 1024, log_size: int =
 def merged(states: DataFrame) -> DataFrame:
     """The sketches of a whole from those of its parts (of versions, files or days), without their rows."""
     sums = [F.sum(c).alias(c) for c in ("n", "nulls", "empties", "total", "squares")]
-    return states.groupBy("column", "kind").agg(
-        *sums, F.min("low").alias("low"), F.max("high").alias("high"), F.hll_union_agg("distinct").alias("distinct"), F.kll_merge_agg_double("ranks").alias("ranks"),
+    return states.groupBy("column").agg(
+        F.max("kind").alias("kind"), *sums, F.min("low").alias("low"), F.max("high").alias("high"), F.hll_union_agg("distinct").alias("distinct"), F.kll_merge_agg_double("ranks").alias("ranks"),
         F.call_function("approx_top_k_combine", F.col("frequent")).alias("frequent"),
     )
 
