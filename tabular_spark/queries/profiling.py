@@ -155,9 +155,10 @@ def merged_states(spark: SparkSession, sf: str) -> DataFrame:
     return profile.merged(profile.states(spark, path))
 
 
-@query(f"WITH {OFFERS} " + profiled(OFFER_KINDS))
+@query(f"WITH {OFFERS}, p AS ({profiled(OFFER_KINDS)}) SELECT \"column\", n, nulls, empties, round(mean, 2) AS mean, round(deviation, 2) AS deviation, low, high FROM p")
 def profile_merged(spark: SparkSession, sf: str) -> DataFrame:
-    return profile.profile_of(merged_states(spark, sf)).select("column", "n", "nulls", "empties", "mean", "deviation", "low", "high")
+    found = profile.profile_of(merged_states(spark, sf))
+    return found.select("column", "n", "nulls", "empties", F.round("mean", 2).alias("mean"), F.round("deviation", 2).alias("deviation"), "low", "high")
 
 
 @query(f"WITH {OFFERS} " + " UNION ALL ".join(f"SELECT '{c}' AS \"column\", {c}::varchar AS value, count(*) AS n FROM offers WHERE {c} IS NOT NULL GROUP BY ALL" for c in ("zone", "reply", "seats", "rooms")))
