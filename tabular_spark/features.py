@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Imputer, OneHotEncoder, RFormula, StringIndexer, VectorAssembler
+from pyspark.ml.feature import Imputer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,19 +34,49 @@ def indexed(df: DataFrame, labels: DataFrame, column: str, out: str, unseen: str
     return df.join(table, df[column] == table["_label"], "left").drop("_label").withColumn(out, F.coalesce(out, F.lit(extra)))
 
 
-def one_hot_stages(columns: list[str]) -> tuple[list, list[str]]:
-    """MLlib stages that index and one-hot text columns, and the names of their vectors. The indexer keeps all labels on the driver."""
-    indexes, vectors = [f"{c}_index" for c in columns], [f"{c}_vector" for c in columns]
-    return [StringIndexer(inputCols=columns, outputCols=indexes, handleInvalid="skip", stringOrderType="frequencyDesc"), OneHotEncoder(inputCols=indexes, outputCols=vectors)], vectors
+def one_hot(df: DataFrame, columns: list[str], out: str = "slots") -> DataFrame:
+    """``df`` with the sorted slots that are 1 in its one-hot vector; all others are 0.
 
+    Each column has a slot per label, the most frequent first, but for the last one, which is all zeros. Label tables are
+    joined, so no task and no driver holds all labels. Rows with a null go.
+    """
+    rows, slots, start = df, [], 0
+    for i, c in enumerate(columns):
+        labels = stored(label_index(df, c), "labels")
+        width = max(0, labels.count() - 1)
+        rows = indexed(rows, labels, c, f"_i{i}")
+        slots.append(F.when(F.col(f"_i{i}") < width, F.col(f"_i{i}").cast("int") + start))
+        start += width
+    return rows.withColumn(out, F.array_compact(F.array(*slots))).drop(*[f"_i{i}" for i in range(len(columns))])
 
-def assembler(columns: list[str], out: str = "features", nulls: str = "error") -> VectorAssembler:
-    return VectorAssembler(inputCols=columns, outputCol=out, handleInvalid=nulls)
 
+def slot_counts(df: DataFrame, slots: str = "slots") -> DataFrame:
+    """(slot, total): how often each slot is 1."""
+    return df.select(F.explode(slots).alias("slot")).groupBy("slot").agg(F.count("*").cast("double").alias("total"))
+
+
+def ordered_bins(df: DataFrame, column: str, label: str, bins: int, parts: int = 64) -> DataFrame:
+    """(label, n, mean, bin): a category's values in the order of their mean label, cut into at most ``bins`` bins of about equal weight.
+
+    For squared error the best split of a category is among those of this order, so a tree may take the bins as a number. The
+    values are sorted by range partitions and their weights summed up partition by partition.
+    """
+    means = df.where(F.col(column).isNotNull() & F.col(label).isNotNull()).groupBy(F.col(column).alias("label")).agg(F.count("*").alias("n"), F.avg(label).alias("mean"))
+    dealt = stored(means.repartitionByRange(parts, "mean", "label").withColumn("part", F.spark_partition_id()), "ordered-labels")
+    sizes = dealt.groupBy("part").agg(F.sum("n").alias("size"))  # one row a partition
+    ahead = sizes.select("part", (F.sum("size").over(Window.orderBy("part")) - F.col("size")).alias("ahead"), F.sum("size").over(Window.partitionBy()).alias("whole"))
+    before = F.col("ahead") + F.sum("n").over(Window.partitionBy("part").orderBy("mean", "label")) - F.col("n")
+    return dealt.join(F.broadcast(ahead), "part").withColumn("bin", F.floor(F.lit(bins) * before / F.col("whole")).cast("int")).select("label", "n", "mean", "bin")
+
+
+def binned(df: DataFrame, bins: DataFrame, column: str, out: str) -> DataFrame:
+    """``df`` with the bin of its value; rows of unseen values and nulls go."""
+    table = bins.select(F.col("label").alias("_label"), F.col("bin").alias(out))
+    return df.join(table, df[column] == table["_label"]).drop("_label")
 
-def formula(text: str, features: str = "features", label: str = "label") -> RFormula:
-    """R-style features: text is indexed and one-hot, numbers stay; rows with nulls or unseen labels go."""
-    return RFormula(formula=text, featuresCol=features, labelCol=label, handleInvalid="skip")
+
+def assembler(columns: list[str], out: str = "features", nulls: str = "error") -> VectorAssembler:
+    return VectorAssembler(inputCols=columns, outputCol=out, handleInvalid=nulls)
 
 
 def slot_sums(df: DataFrame, vector: str, digits: int = 4) -> DataFrame:

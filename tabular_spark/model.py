@@ -7,7 +7,7 @@ from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabular_spark.features import assembler, formula
+from tabular_spark.features import assembler
 
 
 def least_squares(label: str, features: str = "features", prediction: str = "prediction", solver: str = "normal", **options) -> LinearRegression:
@@ -19,10 +19,6 @@ def fit_columns(df: DataFrame, columns: list[str], label: str, prediction: str =
     return Pipeline(stages=[assembler(columns), least_squares(label, prediction=prediction, **options)]).fit(df)
 
 
-def fit_formula(df: DataFrame, text: str, label: str, prediction: str = "prediction") -> PipelineModel:
-    return Pipeline(stages=[formula(text, label="_label"), least_squares(label, prediction=prediction)]).fit(df)
-
-
 def fit_ridge(df: DataFrame, columns: list[str], label: str, alpha: float) -> PipelineModel:
     """Least squares with the penalty ``alpha`` times the squared coefficients, on the raw scale of the features.
 
@@ -38,6 +34,11 @@ def fit_tree(df: DataFrame, columns: list[str], label: str, depth: int, bins: in
     return Pipeline(stages=[assembler(columns), tree]).fit(df)
 
 
+def prediction_column(model: PipelineModel) -> str:
+    """The name of the column that the last stage writes."""
+    return model.stages[-1].getPredictionCol()
+
+
 def coefficients(model: PipelineModel, names: list[str], digits: int = 6):
     """(term, value) pairs of the last stage, the intercept first."""
     last = model.stages[-1]

@@ -158,8 +158,8 @@ def profile_of(states: DataFrame, shares: tuple[float, ...] = (0.25, 0.5, 0.75),
 
 
 def append_state(df: DataFrame, path: str, part: str, **sizes: int) -> None:
-    """Adds the sketches of ``df`` to a table of states under the name ``part``; a part that is there is not written again."""
-    sketches(df, **sizes).write.mode("ignore").parquet(f"{path}/part={part}")
+    """Adds the sketches of ``df`` to a table of states under the name ``part``; a part that is written again replaces itself."""
+    sketches(df, **sizes).write.mode("overwrite").parquet(f"{path}/part={part}")
 
 
 def states(spark, path: str) -> DataFrame:

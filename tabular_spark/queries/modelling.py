@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabular_spark import features, model, split
+from tabular_spark import features, linear, model, split
 from tabular_spark.queries.cleaning import cleaned
 from tabular_spark.queries.registry import CLEAN, query, table
 from tabular_spark.queries.splitting import THREE, TWO, choice_sql
@@ -30,8 +29,15 @@ def index_unseen(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"SELECT CAST(index AS int) AS slot, n::double AS total FROM ({INDEX.format(c='o_orderpriority', t='orders')}) WHERE index < (SELECT count(DISTINCT o_orderpriority) - 1 FROM orders)")
 def one_hot_totals(spark: SparkSession, sf: str) -> DataFrame:
     orders = table(spark, sf, "orders").select("o_orderpriority")
-    stages, vectors = features.one_hot_stages(["o_orderpriority"])
-    return features.slot_sums(Pipeline(stages=stages).fit(orders).transform(orders), vectors[0])
+    return features.slot_counts(features.one_hot(orders, ["o_orderpriority"]))
+
+
+@query("""WITH p AS (SELECT l_partkey, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, l_partkey) - 1 AS slot FROM lineitem GROUP BY 1),
+    f AS (SELECT l_returnflag, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, l_returnflag) - 1 AS slot FROM lineitem GROUP BY 1)
+    SELECT slot::int AS slot, n::double AS total FROM p WHERE slot < (SELECT count(*) - 1 FROM p)
+    UNION ALL SELECT (slot + (SELECT count(*) - 1 FROM p))::int, n::double FROM f WHERE slot < (SELECT count(*) - 1 FROM f)""")
+def one_hot_wide(spark: SparkSession, sf: str) -> DataFrame:
+    return features.slot_counts(features.one_hot(table(spark, sf, "lineitem").select("l_partkey", "l_returnflag"), ["l_partkey", "l_returnflag"]))
 
 
 @query("SELECT 0 AS slot, round(sum(l_quantity), 4) AS total FROM lineitem UNION ALL SELECT 1, round(sum(l_discount), 4) FROM lineitem UNION ALL SELECT 2, round(sum(l_tax), 4) FROM lineitem")
@@ -44,9 +50,10 @@ def lines(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax", "l_extendedprice")
 
 
-def terms(spark: SparkSession, fitted, names: list[str], digits: int = 4) -> DataFrame:
-    summary = fitted.stages[-1].summary
-    rows = [*model.coefficients(fitted, names, digits), ("r2", round(summary.r2, 8)), ("rmse", round(summary.rootMeanSquaredError, digits))]
+def terms(spark, found: linear.Moments, names: list[str], digits: int = 4) -> DataFrame:
+    intercept, slopes = linear.solved(found, "l_extendedprice", names)
+    _, mse, r2 = linear.errors(found, "l_extendedprice", intercept, slopes)
+    rows = [("intercept", round(intercept, digits)), *((n, round(v, digits)) for n, v in slopes.items()), ("r2", round(r2, 8)), ("rmse", round(mse**0.5, digits))]
     return spark.createDataFrame(rows, "term string, value double")
 
 
@@ -54,7 +61,7 @@ def terms(spark: SparkSession, fitted, names: list[str], digits: int = 4) -> Dat
     e AS (SELECT sqrt(avg(pow(l_extendedprice - a * l_quantity - b, 2))) AS e FROM lineitem, m)
     SELECT 'intercept' AS term, round(b, 4) AS value FROM m UNION ALL SELECT 'l_quantity', round(a, 4) FROM m UNION ALL SELECT 'r2', round(r, 8) FROM m UNION ALL SELECT 'rmse', round(e, 4) FROM e""")
 def ols_one(spark: SparkSession, sf: str) -> DataFrame:
-    return terms(spark, model.fit_columns(lines(spark, sf), ["l_quantity"], "l_extendedprice"), ["l_quantity"])
+    return terms(spark, linear.moments(lines(spark, sf), ["l_extendedprice", "l_quantity"]), ["l_quantity"])
 
 
 TWO_FEATURES = """c AS (SELECT covar_pop(l_extendedprice, l_quantity) AS yx, covar_pop(l_extendedprice, l_discount) AS yz, covar_pop(l_quantity, l_discount) AS xz,
@@ -66,14 +73,25 @@ TWO_FEATURES = """c AS (SELECT covar_pop(l_extendedprice, l_quantity) AS yx, cov
     SELECT 'intercept' AS term, round(i, 3) AS value FROM k UNION ALL SELECT 'l_quantity', round(a, 3) FROM k UNION ALL SELECT 'l_discount', round(b, 3) FROM k
     UNION ALL SELECT 'r2', round(1 - e / yy, 8) FROM e UNION ALL SELECT 'rmse', round(sqrt(e), 3) FROM e""")
 def ols_two(spark: SparkSession, sf: str) -> DataFrame:
-    return terms(spark, model.fit_columns(lines(spark, sf), ["l_quantity", "l_discount"], "l_extendedprice"), ["l_quantity", "l_discount"], 3)
+    return terms(spark, linear.moments(lines(spark, sf), ["l_extendedprice", "l_quantity", "l_discount"]), ["l_quantity", "l_discount"], 3)
 
 
 @query("""WITH c AS (SELECT covar_pop(l_extendedprice, l_quantity) * count(*) AS yx, var_pop(l_quantity) * count(*) AS xx, avg(l_extendedprice) AS y, avg(l_quantity) AS x FROM lineitem)
     SELECT 'intercept' AS term, round(y - x * yx / (xx + 1000000), 3) AS value FROM c UNION ALL SELECT 'l_quantity', round(yx / (xx + 1000000), 3) FROM c""")
 def ridge_fit(spark: SparkSession, sf: str) -> DataFrame:
-    fitted = model.fit_ridge(lines(spark, sf), ["l_quantity"], "l_extendedprice", alpha=1_000_000.0)
-    return spark.createDataFrame(model.coefficients(fitted, ["l_quantity"], 3), "term string, value double")
+    intercept, slopes = linear.solved(linear.moments(lines(spark, sf), ["l_extendedprice", "l_quantity"]), "l_extendedprice", ["l_quantity"], alpha=1_000_000.0)
+    return spark.createDataFrame([("intercept", round(intercept, 3)), ("l_quantity", round(slopes["l_quantity"], 3))], "term string, value double")
+
+
+PENALTIES = (0, 1000, 1_000_000, 1_000_000_000)
+
+
+@query("WITH c AS (SELECT covar_pop(l_extendedprice, l_quantity) * count(*) AS yx, var_pop(l_quantity) * count(*) AS xx, avg(l_extendedprice) AS y, avg(l_quantity) AS x FROM lineitem) " + " UNION ALL ".join(
+    f"SELECT {a}::double AS alpha, round(y - x * yx / (xx + {a}), 3) AS intercept, round(yx / (xx + {a}), 3) AS slope FROM c" for a in PENALTIES))
+def ridge_path(spark: SparkSession, sf: str) -> DataFrame:
+    found = linear.moments(lines(spark, sf), ["l_extendedprice", "l_quantity"])  # one scan for all penalties
+    fits = ((a, *linear.solved(found, "l_extendedprice", ["l_quantity"], alpha=float(a))) for a in PENALTIES)
+    return spark.createDataFrame([(float(a), round(i, 3), round(b["l_quantity"], 3)) for a, i, b in fits], "alpha double, intercept double, slope double")
 
 
 LINE = f"""s AS (SELECT *, {choice_sql('l_orderkey', THREE)} AS split FROM lineitem),
@@ -106,7 +124,11 @@ def evaluate(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"WITH {LINE} SELECT split, {METRICS} FROM p GROUP BY split")
 def evaluate_by_split(spark: SparkSession, sf: str) -> DataFrame:
-    return model.metrics(predicted(spark, sf), "l_extendedprice", "prediction", "split", digits=1)
+    rows = split.with_split(table(spark, sf, "lineitem").select("l_orderkey", "l_quantity", "l_extendedprice"), "l_orderkey", THREE)
+    found = linear.moments_by(rows, ["l_extendedprice", "l_quantity"], "split")
+    fitted = linear.solved(found["train"], "l_extendedprice", ["l_quantity"])
+    errors = ((name, *linear.errors(m, "l_extendedprice", *fitted)) for name, m in found.items())
+    return spark.createDataFrame([(name, n, round(mse, 1), round(mse**0.5, 1), round(r2, 6)) for name, n, mse, r2 in errors], "split string, n long, mse double, rmse double, r2 double")
 
 
 def grouped_fit(label: str) -> str:
@@ -119,14 +141,13 @@ def grouped_fit(label: str) -> str:
 @query(f"""WITH {CLEAN}, t AS (SELECT * FROM clean), {grouped_fit('price')}
     SELECT round(any_value(a), 4) AS slope, round(sqrt(avg(pow(price - prediction, 2))), 4) AS rmse, round(1 - avg(pow(price - prediction, 2)) / var_pop(price), 8) AS r2 FROM p""")
 def formula_fit(spark: SparkSession, sf: str) -> DataFrame:
-    fitted = model.fit_formula(cleaned(spark, sf).select("zone", "seats", "price"), "price ~ .", "price")
-    last = fitted.stages[-1]
-    return spark.createDataFrame([(round(float(last.coefficients[-1]), 4), round(last.summary.rootMeanSquaredError, 4), round(last.summary.r2, 8))], "slope double, rmse double, r2 double")
+    found = linear.fit(cleaned(spark, sf).select("zone", "seats", "price"), "price ~ .")
+    return spark.createDataFrame([(round(found.slopes["seats"], 4), round(found.rmse, 4), round(found.r2, 8))], "slope double, rmse double, r2 double")
 
 
 def log_model(spark: SparkSession, sf: str):
     rows = cleaned(spark, sf).select("id", "zone", "seats", "price", F.ln("price").alias("log_price"))
-    return rows, model.fit_formula(rows, "log_price ~ . - price - id", "log_price", prediction="log_prediction")
+    return rows, linear.fit(rows, "log_price ~ . - price - id")
 
 
 LOGGED = f"WITH {CLEAN}, t AS (SELECT *, ln(price) AS log_price FROM clean), {grouped_fit('log_price')}"
@@ -134,20 +155,20 @@ LOGGED = f"WITH {CLEAN}, t AS (SELECT *, ln(price) AS log_price FROM clean), {gr
 
 @query(f"{LOGGED} SELECT round(any_value(a), 8) AS slope, round(sqrt(avg(pow(log_price - prediction, 2))), 6) AS rmse FROM p")
 def log_fit(spark: SparkSession, sf: str) -> DataFrame:
-    last = log_model(spark, sf)[1].stages[-1]
-    return spark.createDataFrame([(round(float(last.coefficients[-1]), 8), round(last.summary.rootMeanSquaredError, 6))], "slope double, rmse double")
+    found = log_model(spark, sf)[1]
+    return spark.createDataFrame([(round(found.slopes["seats"], 8), round(found.rmse, 6))], "slope double, rmse double")
 
 
 @query(f"{LOGGED} SELECT id, round(exp(prediction), 3) AS prediction FROM p")
 def exp_prediction(spark: SparkSession, sf: str) -> DataFrame:
     rows, fitted = log_model(spark, sf)
-    return fitted.transform(rows).select("id", F.round(F.exp("log_prediction"), 3).alias("prediction"))
+    return fitted.transform(rows, "log_prediction").select("id", F.round(F.exp("log_prediction"), 3).alias("prediction"))
 
 
 @query(f"{LOGGED} SELECT count(*) AS n, round(avg(pow(price - exp(prediction), 2)), 0) AS mse, round(sqrt(avg(pow(price - exp(prediction), 2))), 0) AS rmse, round(1 - avg(pow(price - exp(prediction), 2)) / var_pop(price), 6) AS r2 FROM p")
 def log_evaluate(spark: SparkSession, sf: str) -> DataFrame:
     rows, fitted = log_model(spark, sf)
-    return model.metrics(fitted.transform(rows).withColumn("prediction", F.exp("log_prediction")), "price", "prediction", digits=0)
+    return model.metrics(fitted.transform(rows, "log_prediction").withColumn("prediction", F.exp("log_prediction")), "price", "prediction", digits=0)
 
 
 FEATURES = ["l_quantity", "l_discount", "l_tax"]
@@ -223,6 +244,37 @@ def max_bins_check(spark: SparkSession, sf: str) -> DataFrame:
     SELECT count(*) AS n, round(sum(prediction), 1) AS predicted FROM s JOIN m USING (o_orderpriority) WHERE split = 'test'""")
 def one_hot_fit(spark: SparkSession, sf: str) -> DataFrame:
     rows = split.with_split(table(spark, sf, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice"), "o_orderkey", TWO)
-    stages, vectors = features.one_hot_stages(["o_orderpriority"])
-    fitted = Pipeline(stages=[*stages, features.assembler(vectors), model.least_squares("o_totalprice")]).fit(rows.where("split = 'train'"))
+    fitted = linear.fit(rows.where("split = 'train'").select("o_orderpriority", "o_totalprice"), "o_totalprice ~ o_orderpriority")
     return fitted.transform(rows.where("split = 'test'")).agg(F.count("*").alias("n"), F.round(F.sum("prediction"), 1).alias("predicted"))
+
+
+@query(f"""WITH s AS (SELECT *, {choice_sql('l_orderkey', TWO)} AS split FROM lineitem),
+    g AS (SELECT l_partkey, avg(l_quantity) AS mx, avg(l_extendedprice) AS my FROM s WHERE split = 'train' GROUP BY 1),
+    k AS (SELECT sum((l_quantity - mx) * (l_extendedprice - my)) / sum(pow(l_quantity - mx, 2)) AS a FROM s JOIN g USING (l_partkey) WHERE split = 'train')
+    SELECT split, count(*) AS n, round(sqrt(avg(pow(l_extendedprice - my - a * (l_quantity - mx), 2))), 2) AS rmse FROM s JOIN g USING (l_partkey), k GROUP BY split""")
+def wide_category_fit(spark: SparkSession, sf: str) -> DataFrame:
+    rows = split.with_split(table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice"), "l_orderkey", TWO).withColumn("l_partkey", F.col("l_partkey").cast("string"))
+    fitted = linear.fit(rows.where("split = 'train'").select("l_partkey", "l_quantity", "l_extendedprice"), "l_extendedprice ~ .")
+    error = F.round(F.sqrt(F.avg(model.squared_error("l_extendedprice", "prediction"))), 2).alias("rmse")
+    return fitted.transform(rows).groupBy("split").agg(F.count("*").alias("n"), error)
+
+
+BINS = 16
+ORDERED = f"""o AS (SELECT p_name, count(*) AS n, avg(p_retailprice) AS mean FROM part GROUP BY p_name),
+    b AS (SELECT p_name, n, mean, CAST(floor({BINS} * (sum(n) OVER (ORDER BY mean, p_name) - n) / sum(n) OVER ()) AS int) AS bin FROM o)"""
+
+
+@query(f"WITH {ORDERED} SELECT p_name AS label, n, bin FROM b")
+def ordered_bins(spark: SparkSession, sf: str) -> DataFrame:
+    return features.ordered_bins(table(spark, sf, "part"), "p_name", "p_retailprice", BINS).select("label", "n", "bin")
+
+
+@query(f"""WITH {ORDERED}, v AS (SELECT bin, sum(n) AS n, sum(n * mean) AS s FROM b GROUP BY bin),
+    c AS (SELECT bin, sum(n) OVER w AS n, sum(s) OVER w AS s, sum(n) OVER () AS an, sum(s) OVER () AS al FROM v WINDOW w AS (ORDER BY bin)),
+    t AS (SELECT *, s * s / n + (al - s) * (al - s) / (an - n) AS gain FROM c WHERE n < an ORDER BY gain DESC LIMIT 1)
+    SELECT round(CASE WHEN b.bin <= t.bin THEN s / t.n ELSE (al - s) / (an - t.n) END, 3) AS prediction, sum(b.n)::bigint AS n FROM b, t GROUP BY 1""")
+def tree_wide(spark: SparkSession, sf: str) -> DataFrame:
+    parts = table(spark, sf, "part").select("p_name", "p_retailprice")
+    rows = features.binned(parts, features.ordered_bins(parts, "p_name", "p_retailprice", BINS), "p_name", "p_name_bin")
+    fitted = model.fit_tree(rows, ["p_name_bin"], "p_retailprice", 1, bins=BINS)
+    return fitted.transform(rows).groupBy(F.round("prediction", 3).alias("prediction")).agg(F.count("*").alias("n"))

@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tabular_spark.storage import stored
+
+RUN_LOG = "run string, kind string, key string, text string, number double, at timestamp_ntz, write_id string"
+
 
 def record(df: DataFrame, id_col: str, columns: list[str]) -> DataFrame:
     """Metrics of a frame as long rows (run_id, key, value)."""
@@ -49,3 +55,66 @@ def previous(df: DataFrame, key: str, value: str, at: str, tie: str, width: str
     inside = bucketed.withColumn("_before", F.lag(F.struct(F.col(value).alias("v"))).over(Window.partitionBy(key, "_bucket").orderBy(at, tie)))
     both = inside.join(carried, inside[key].eqNullSafe(carried["_key"]) & inside["_bucket"].eqNullSafe(carried["_at"]))
     return both.withColumn(out, F.coalesce("_before", "_carried")["v"]).drop("_bucket", "_before", "_key", "_at", "_carried")
+
+
+def logged(df: DataFrame, run: str, at: str, params: dict[str, Column], metrics: dict[str, Column]) -> DataFrame:
+    """Rows of a run log: each run's params as texts and its metrics as numbers; those that are null have no row."""
+    texts = [F.struct(F.lit("param").alias("kind"), F.lit(k).alias("key"), v.cast("string").alias("text"), F.lit(None).cast("double").alias("number")) for k, v in params.items()]
+    numbers = [F.struct(F.lit("metric").alias("kind"), F.lit(k).alias("key"), F.lit(None).cast("string").alias("text"), v.cast("double").alias("number")) for k, v in metrics.items()]
+    rows = df.select(F.col(run).cast("string").alias("run"), F.col(at).cast("timestamp_ntz").alias("at"), F.explode(F.array(*texts, *numbers)).alias("r"))
+    return rows.select("run", "r.*", "at").where("text IS NOT NULL OR number IS NOT NULL")
+
+
+def append(rows: DataFrame, path: str, write_id: str) -> None:
+    """Adds rows to a run log. A write that is repeated, because it failed or for no reason, replaces what it wrote before."""
+    rows.select("run", "kind", "key", "text", "number", "at").write.mode("overwrite").parquet(f"{path}/write_id={write_id}")
+
+
+def run_log(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(RUN_LOG).parquet(path)
+
+
+def run_table(log: DataFrame, params: list[str], metrics: list[str]) -> DataFrame:
+    """One row per run with the latest value of each param and metric; of equal times the write with the larger id counts."""
+    latest_of = "max_by({0}, struct(at, write_id)) FILTER (WHERE kind = '{1}' AND key = '{2}')"
+    columns = [F.expr(latest_of.format(v, kind, k)).alias(k) for v, kind, keys in (("text", "param", params), ("number", "metric", metrics)) for k in keys]
+    return log.groupBy("run").agg(*columns)
+
+
+@dataclass
+class LifeCycle:
+    """What of a log of stage events must be kept to go on: the last event of each version and the newest promotion of each name.
+
+    Both are maxima by the order of events, so that folding deltas in any order, late events included, gives what
+    the whole log gives. ``last`` is (name, version, stage, order), ``promoted`` (name, newest).
+    """
+
+    last: DataFrame
+    promoted: DataFrame
+
+
+def fold(state: LifeCycle | None, delta: DataFrame, name: str, version: str, stage: str, promotion: str, *order: str) -> LifeCycle:
+    """The state after the events of ``delta``; only the delta and the state are read."""
+    events = delta.select(F.col(name).alias("name"), F.col(version).alias("version"), F.col(stage).alias("stage"), F.struct(*order).alias("order"))
+    promoted = events.where(F.col("stage") == promotion).select("name", F.col("order")[order[0]].alias("newest"))
+    if state is not None:
+        events, promoted = state.last.unionByName(events), state.promoted.unionByName(promoted)
+    last = events.groupBy("name", "version").agg(F.max_by("stage", "order").alias("stage"), F.max("order").alias("order"))
+    return LifeCycle(stored(last, "life-cycle"), stored(promoted.groupBy("name").agg(F.max("newest").alias("newest")), "promotions"))
+
+
+def current(state: LifeCycle, promotion: str, archived: str) -> DataFrame:
+    """(name, version, stage), where a promotion archives the versions of the same name that were promoted before."""
+    first = state.last.schema["order"].dataType.names[0]
+    replaced = (F.col("stage") == promotion) & (F.col("order")[first] < F.col("newest"))
+    return state.last.join(state.promoted, "name", "left").select("name", "version", F.when(replaced, archived).otherwise(F.col("stage")).alias("stage"))
+
+
+def refreshed(answers: DataFrame | None, log: DataFrame, delta: DataFrame, key: str, answer) -> DataFrame:
+    """``answer`` of the log, where only the keys of ``delta`` are answered anew; ``log`` holds the delta already.
+
+    For answers that a late event can change, as what came before an event: those of other keys stay as they were.
+    """
+    touched = stored(delta.select(key).distinct(), "touched")
+    new = answer(log.join(touched, key, "left_semi"))
+    return stored(new if answers is None else answers.join(touched, key, "left_anti").unionByName(new), "answers")

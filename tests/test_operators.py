@@ -248,3 +248,27 @@ def test_states_of_nothing(spark, tmp_path):
     profile.append_state(spark.createDataFrame([(1.0, "v")], "x double, s string"), str(tmp_path), "b")
     got = {r["column"]: r for r in profile.profile_of(profile.merged(profile.states(spark, str(tmp_path)))).collect()}
     assert (got["x"].n, got["x"]["mean"], got["x"].quantiles) == (1, 1.0, [1.0, 1.0, 1.0])
+
+
+def test_one_hot_of_many_labels_holds_none_on_the_driver(spark):
+    df = spark.range(200_000).select((F.col("id") % 100_000).cast("string").alias("k"), F.when(F.col("id") % 3 > 0, "a").otherwise("b").alias("s"))
+    rows = features.one_hot(df, ["k", "s"])
+    assert "Indexer" not in rows._jdf.queryExecution().toString()
+    got = rows.agg(F.count("*"), F.max(F.array_max("slots")), F.sum(F.size("slots"))).first()
+    assert got == (200_000, 99_999, 200_000 - 2 + 133_333)
+
+
+def test_ordered_bins_hold_the_best_split_of_a_category(spark):
+    import itertools
+
+    draw = random.Random(9)
+    rows = [(f"k{i % 8}", float((i % 8) * 7 % 5) + draw.random()) for i in range(200)]
+    bins = {r["label"]: r["bin"] for r in features.ordered_bins(spark.createDataFrame(rows, "k string, y double"), "k", "y", 8).collect()}
+    labels = sorted(bins)
+
+    def error(side):
+        parts = [[y for k, y in rows if (k in side) == inside] for inside in (True, False)]
+        return sum(sum((y - sum(p) / len(p)) ** 2 for y in p) for p in parts if p)
+
+    best = min(error(set(side)) for n in range(1, 8) for side in itertools.combinations(labels, n))
+    assert min(error({k for k in labels if bins[k] <= cut}) for cut in range(7)) == pytest.approx(best)
