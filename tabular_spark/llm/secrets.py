@@ -32,12 +32,15 @@ KINDS = ("assign", "access", "hex")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
-PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
-UNICODE = re.compile(r"(?:\\u[0-9A-Fa-f]{4})+|\\u\{[0-9A-Fa-f]{1,6}\}|\\U[0-9A-Fa-f]{8}|(?:\\x[0-9A-Fa-f]{2})+|&#(?:[0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});")
+#: A mark that is itself escaped, once or many times over, is undone with what it marks: one layer, not one for each time.
+PERCENT_UNIT, UNICODE_UNIT = re.compile(r"%(?:25)*([0-9A-Fa-f]{2})"), re.compile(r"\\(?:u005[cC])*u([0-9A-Fa-f]{4})")
+PERCENT = re.compile(r"(?:%(?:25)*[0-9A-Fa-f]{2})+")
+UNICODE = re.compile(r"(?:\\(?:u005[cC])*u[0-9A-Fa-f]{4})+|\\u\{[0-9A-Fa-f]{1,6}\}|\\U[0-9A-Fa-f]{8}|(?:\\x[0-9A-Fa-f]{2})+|&(?:#38;|#[xX]26;)*#(?:[0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});")
 BASE64 = re.compile(r"[A-Za-z0-9+/]{16,}={0,2}")
 BASE64_URL = re.compile(r"[A-Za-z0-9_-]{16,}={0,2}")
-WRAPPED = re.compile(r"[A-Za-z0-9+/]{16,}(?:\r?\n[ \t]*[A-Za-z0-9+/]+)+={0,2}")
-WRAPPED_URL = re.compile(r"[A-Za-z0-9_-]{16,}(?:\r?\n[ \t]*[A-Za-z0-9_-]+)+={0,2}")
+#: Tried at the start of a run only and never given back, so that a long run is read once.
+WRAPPED = re.compile(r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{16,}+(?:\r?\n[ \t]*+[A-Za-z0-9+/]++)++={0,2}")
+WRAPPED_URL = re.compile(r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{16,}+(?:\r?\n[ \t]*+[A-Za-z0-9_-]++)++={0,2}")
 #: Escaped bytes with the plain characters around them, as escapes are written only where needed.
 PERCENT_BYTES, ESCAPED_BYTES = re.compile(r"[!-~]+"), re.compile(r"[ -~]+")
 #: How compressed data starts; what bytes without any secret or further layer lack.
@@ -106,20 +109,22 @@ def characters(data: bytes) -> list[tuple[str | None, int]]:
 
 
 def percent_pieces(run: str) -> list[tuple[str, int]] | None:
+    units = list(PERCENT_UNIT.finditer(run))
     at, out = 0, []
-    found = characters(bytes.fromhex(run.replace("%", "")))
+    found = characters(bytes.fromhex("".join(u[1] for u in units)))
     if all(c is None for c, _ in found):
         return None
     for c, n in found:
-        out.append((run[at : at + 3] if c is None else c, 3 * n))
-        at += 3 * n
+        start, end = units[at].start(), units[at + n - 1].end()
+        out.append((run[start:end] if c is None else c, end - start))
+        at += n
     return out
 
 
 def unicode_pieces(run: str) -> list[tuple[str, int]] | None:
     if run[0] == "&":
-        code = int(run[3:-1], 16) if run[2] in "xX" else int(run[2:-1])
-        found = [(code, len(run))]
+        code = run[run.rindex("#") + 1 : -1]
+        found = [(int(code[1:], 16) if code[0] in "xX" else int(code), len(run))]
     elif run[1] == "x":
         try:
             return [(c, 4 * len(c.encode())) for c in bytes.fromhex(run.replace("\\x", "")).decode()]
@@ -128,13 +133,14 @@ def unicode_pieces(run: str) -> list[tuple[str, int]] | None:
     elif run[1] == "U" or run[2] == "{":
         found = [(int(run.strip("\\uU{}"), 16), len(run))]
     else:
-        units, found, i = [int(run[k + 2 : k + 6], 16) for k in range(0, len(run), 6)], [], 0
+        units = [(int(u[1], 16), len(u[0])) for u in UNICODE_UNIT.finditer(run)]
+        found, i = [], 0
         while i < len(units):
-            if 0xD800 <= units[i] < 0xDC00 and i + 1 < len(units) and 0xDC00 <= units[i + 1] < 0xE000:
-                found.append((0x10000 + (units[i] - 0xD800 << 10) + units[i + 1] - 0xDC00, 12))
+            if 0xD800 <= units[i][0] < 0xDC00 and i + 1 < len(units) and 0xDC00 <= units[i + 1][0] < 0xE000:
+                found.append((0x10000 + (units[i][0] - 0xD800 << 10) + units[i + 1][0] - 0xDC00, units[i][1] + units[i + 1][1]))
                 i += 2
             else:
-                found.append((units[i], 6))
+                found.append(units[i])
                 i += 1
     if any(code > 0x10FFFF or 0xD800 <= code < 0xE000 for code, _ in found):
         return None
@@ -210,6 +216,24 @@ def inflated(data: bytes) -> bytes | None:
     return bytes(out) + data if members else None
 
 
+def begins(data: bytes, at: int, enough: int = 4096) -> bool:
+    """Whether compressed data may begin here: of gzip and zlib the first bytes give something, of other kinds they are sound."""
+    import zstandard
+
+    head = data[at : at + enough]
+    zstd = head[:4] == b"\x28\xb5\x2f\xfd"
+    machine = zstandard.ZstdDecompressor().decompressobj() if zstd else machine_for(head)
+    if machine is None:
+        return False
+    for i in range(0, len(head), 64):
+        try:
+            if machine.decompress(head[i : i + 64]) or machine.eof:
+                return True
+        except Exception:  # unsound from here on
+            return False
+    return head[:1] not in (b"\x1f", b"\x78")
+
+
 class Bytes:
     """Decoded bytes, the stretch of the document that all stand for, and where known those of each byte."""
 
@@ -288,6 +312,8 @@ def escaped_layers(layer: Layer) -> Iterator[Bytes]:
             except ValueError:
                 continue
             for start in MAGIC.finditer(data):
+                if not begins(data, start.start()):
+                    continue
                 yield Bytes(data[start.start() :], layer.span(m.start(), m.end()), f"{layer.name}/{name}")
 
 
