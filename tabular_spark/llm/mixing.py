@@ -9,8 +9,8 @@ the last one of a source is rounded to the nearer side, so that a source misses
 most half the words of one document. Larger documents are paired first, so that it is a small one.
 
 Cases: a null text has no words; null sources are one source, the last in order; documents
-without words take nothing; rows that repeat id, source and number of words share one decision;
-sources without words have target 0; an empty table gives an empty result. Reruns agree: every
+without words take nothing; of rows that repeat id, source and number of words, as many take one
+copy more than the others as their fractions add up to, and only what is left of these is rounded; sources without words have target 0; an empty table gives an empty result. Reruns agree: every
 random number follows from the seed and the ids.
 """
 
@@ -19,7 +19,7 @@ from __future__ import annotations
 import math
 from itertools import groupby
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabular_spark.llm.common import WORD, as_record, ranked, stored
@@ -102,7 +102,10 @@ def rounding(items: DataFrame, keys: list[str], seed: int) -> DataFrame:
 
 
 def copies(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: float = CAP, seed: int = 42, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
-    """(doc_id, source, size, rows, source_size, target, copies): one row per distinct id, source and size."""
+    """(doc_id, source, size, rows, source_size, target, whole, extra): one row per distinct id, source and size.
+
+    Each of its rows is taken ``whole`` times, and ``extra`` of them once more.
+    """
     slim = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), words(text_col).alias("size"))
     slim = stored(slim.groupBy("doc_id", "source", "size").agg(F.count("*").alias("rows")), "mix-items")
     aims = stored(targets(slim.groupBy("source").agg(F.sum(F.col("size") * F.col("rows")).alias("source_size")), weights, cap), "mix-targets")
@@ -110,10 +113,12 @@ def copies(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: float = C
     nodes = max(1, math.ceil(number / BUCKET))
     due = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     whole = F.floor(F.col("due") + F.lit(1e-9))
+    # the fractions of all rows of an item: full copies, and less than one that is rounded
+    over = F.when(F.col("size") > 0, F.greatest(F.col("due") - whole, F.lit(0.0)) * F.col("rows")).otherwise(0.0)
     aims = aims.select(F.col("source").alias("_source"), "source_size", "target")
     items = slim.join(aims, F.col("source").eqNullSafe(F.col("_source"))).drop("_source").withColumn("due", due).select(
-        "doc_id", "source", "size", "rows", "source_size", "target", (F.col("size") * F.col("rows")).alias("mass"), whole.cast("int").alias("whole"),
-        F.when(F.col("size") > 0, F.greatest(F.col("due") - whole, F.lit(0.0))).otherwise(0.0).alias("share"),
+        "doc_id", "source", "size", "rows", "source_size", "target", F.col("size").alias("mass"), whole.cast("int").alias("whole"),
+        F.floor(over + F.lit(1e-9)).cast("long").alias("extra"), F.greatest(over - F.floor(over + F.lit(1e-9)), F.lit(0.0)).alias("share"),
         F.xxhash64(F.lit(seed), "doc_id", "size").alias("order"), F.lit(False).alias("open"),
     ).withColumn("node", F.pmod("order", F.lit(nodes)).cast("long"))
     level = stored(rounding(items, ["node"], seed), "mix-level")
@@ -123,19 +128,40 @@ def copies(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: float = C
         above = level.where("open").withColumn("node", F.floor(F.col("node") / FAN_IN)).withColumn("open", F.lit(False))
         level = stored(rounding(above, ["source", "node"], seed + nodes), "mix-level")
         decided = decided.unionByName(level.where(~F.col("open")))
-    return decided.unionByName(level.where("open")).select("doc_id", "source", "size", "rows", "source_size", "target", (F.col("whole") + F.round("share").cast("int")).alias("copies"))
+    return decided.unionByName(level.where("open")).select("doc_id", "source", "size", "rows", "source_size", "target", "whole", (F.col("extra") + F.round("share").cast("long")).alias("extra"))
+
+
+def numbered(rows: DataFrame, key: list[str]) -> DataFrame:
+    """``rows`` with ``at``, from 1 for each key. Rows of one key are numbered where they lie, and shifted by those in the partitions before."""
+    dealt = stored(rows.withColumn("_part", F.spark_partition_id()), "mix-repeats")
+    inside = dealt.withColumn("_in", F.row_number().over(Window.partitionBy(*key, "_part").orderBy(F.lit(0))))
+    sizes = dealt.groupBy(*key, "_part").agg(F.count("*").alias("_n"))
+    ahead = sizes.withColumn("_ahead", F.sum("_n").over(Window.partitionBy(*key).orderBy("_part")) - F.col("_n"))
+    ahead = ahead.select(*[F.col(k).alias(f"_{k}") for k in key], F.col("_part").alias("_p"), "_ahead")
+    same = inside["_part"] == ahead["_p"]
+    for k in key:
+        same = same & inside[k].eqNullSafe(ahead[f"_{k}"])
+    return inside.join(ahead, same).withColumn("at", F.col("_in") + F.col("_ahead"))
 
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with each row as many times as it is taken, all columns kept."""
-    found = copies(docs, **options).where("copies > 0")
+    found = copies(docs, **options).where("whole + extra > 0")
     id_col, source_col, text_col = (options.get(k, v) for k, v in (("id_col", "doc_id"), ("source_col", "source"), ("text_col", "text")))
-    found = found.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), "size", "copies")
+    found = found.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), "size", "rows", "whole", "extra")
     sized = as_record(docs, id=F.col(id_col), source=F.col(source_col), words=words(text_col))
     both = sized.join(found, sized["id"].eqNullSafe(found["_id"]) & sized["source"].eqNullSafe(found["_source"]) & (sized["words"] == found["size"]))
-    return both.select("record", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")).select("record.*")
+    both = both.select("record", "id", "source", "words", "rows", "whole", "extra")
+    # rows of an item differ only where some take one copy more than others
+    alike = (F.col("extra") == 0) | (F.col("extra") == F.col("rows"))
+    each = both.where(alike).select("record", (F.col("whole") + F.when(F.col("extra") > 0, 1).otherwise(0)).alias("copies"))
+    if not found.where(~alike).isEmpty():
+        some = numbered(both.where(~alike), ["id", "source", "words"])
+        each = each.unionByName(some.select("record", (F.col("whole") + F.when(F.col("at") <= F.col("extra"), 1).otherwise(0)).alias("copies")))
+    return each.where("copies > 0").select("record", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")).select("record.*")
 
 
 def op10(docs: DataFrame) -> DataFrame:
-    each = copies(docs).withColumn("_row", F.explode(F.array_repeat(F.lit(1), F.col("rows").cast("int"))))
-    return each.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+    each = copies(docs).withColumn("_row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))))
+    taken = (F.col("whole") + F.when(F.col("_row") <= F.col("extra"), 1).otherwise(0)) * F.col("size")
+    return each.select("doc_id", "size", "source_size", "target", taken.alias("taken"))
