@@ -17,6 +17,7 @@ score is that class (or 0.5) everywhere; repeated rows stay; extra columns are n
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from typing import Any
@@ -234,19 +235,32 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
 
-def trained(rows: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id", most: int = MOST_LABELLED) -> AdditiveModel:
-    """The model from ``rows`` of ``featured`` and labels, held-out ids left out."""
+def chosen(labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id", most: int = MOST_LABELLED) -> DataFrame:
+    """(doc_id, label) of at most ``most`` labelled ids, those of the least hashes, held-out ids left out.
+
+    A threshold of the hash leaves somewhat more than ``most`` rows to sort, whatever the number of labels and tasks.
+    """
+    known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col)).groupBy(F.col(id_col).alias("doc_id")).agg(F.avg(label_col).alias("label"))
+    known, order = stored(known, "quality-labels"), F.xxhash64("doc_id")
+    if (n := known.count()) > 2 * most:
+        few = known.where(F.pmod(order, F.lit(1_000_000)) < F.lit(math.ceil(1_000_000 * 1.2 * most / n)))
+        known = few if few.count() >= most else known  # too few by chance only
+    return stored(known.orderBy(order, "doc_id").limit(most), "quality-sample")
+
+
+def trained(rows: DataFrame, sample: DataFrame) -> AdditiveModel:
+    """The model from ``rows`` of ``featured`` and a sample by ``chosen``; of rows that repeat an id one is taken, so that the driver gets no more rows than the sample has."""
     import numpy as np
 
-    known = labels.where(F.col(label_col).isNotNull() & ~held_out(id_col)).groupBy(F.col(id_col).alias("doc_id")).agg(F.avg(label_col).alias("label"))
-    sample = rows.join(known, "doc_id").select(F.xxhash64("doc_id").alias("order"), "features", "label").orderBy("order", "features").limit(most).toPandas()
-    return fit(np.array(sample["features"].tolist()).reshape(-1, len(FEATURES)), sample["label"].to_numpy(float))
+    known = rows.join(F.broadcast(sample), "doc_id").groupBy("doc_id").agg(F.min("features").alias("features"), F.first("label").alias("label"))
+    found = known.select(F.xxhash64("doc_id").alias("order"), "features", "label").toPandas().sort_values("order", kind="stable")
+    return fit(np.array(found["features"].tolist()).reshape(-1, len(FEATURES)), found["label"].to_numpy(float))
 
 
 def scored(docs: DataFrame, labels: DataFrame, label_col: str = "quality") -> DataFrame:
     """(doc_id, score) of every document."""
     rows = stored(featured(docs), "quality-features")
-    model = trained(rows, labels, label_col)
+    model = trained(rows, chosen(labels, label_col))
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator) -> Iterator:
@@ -260,9 +274,11 @@ def scored(docs: DataFrame, labels: DataFrame, label_col: str = "quality") -> Da
     return rows.mapInArrow(run, f"doc_id {kind}, score double")
 
 
-def accepted(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:
+def accepted(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """The rows of ``docs`` that reach the threshold, all columns kept; only texts go through Python."""
-    model = trained(featured(docs, text_col=text_col), labels)
+    sample = chosen(labels)
+    known = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(F.broadcast(sample.select("doc_id")), "doc_id")
+    model = trained(featured(known), sample)  # features of the sample only
 
     @F.pandas_udf("double")
     def score(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:

@@ -1,5 +1,6 @@
 """The registered queries against their SQL, and each stage of the pipeline against brute force on its own input."""
 
+import hashlib
 from collections import Counter
 
 import duckdb
@@ -12,13 +13,14 @@ from tabular_spark.llm.queries import ORACLES, QUERIES
 
 
 def test_names():
-    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 11)] and set(ORACLES) <= set(QUERIES)
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 14)] and set(ORACLES) <= set(QUERIES)
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, sf, name):
     connection = duckdb.connect()
-    connection.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf}/documents.parquet'")
+    for table in ("documents", "embeddings"):
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf}/{table}.parquet'")
     want = connection.execute(ORACLES[name])
     columns = [c[0] for c in want.description]
     got = QUERIES[name](spark, sf)
@@ -51,6 +53,9 @@ def test_stages(spark, sf):
             assert max(times.values()) <= 3 and abs(sum(times[i] * sizes[i] for i in sizes) / sum(totals.values()) - 1) < 0.25
         if number == 4:
             assert sorted(after["doc_id"]) == sorted(before["doc_id"]) and (after["n_tokens"] > 0).all()
+            digest = before.assign(digest=[hashlib.sha256((t or "").encode()).hexdigest() for t in before["text"]])
+            assert sorted(zip(after["doc_id"], after["decoded_sha256"])) == sorted(zip(digest["doc_id"], digest["digest"]))
+            assert all(len(ids) == n for ids, n in zip(after["ids"], after["n_tokens"]))
 
 
 def test_stages_on_no_documents(spark, sf):
