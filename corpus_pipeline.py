@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tabular_spark.llm import bpe, exact_dedup, mixing, quality, similarity_join
 from tabular_spark.llm.common import stored, table
@@ -29,8 +30,8 @@ def to_target_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document with its token ids; decoded texts are checked by digest."""
-    return bpe.op5(docs)
+    """Every document with its token ids, and the digest of what they decode to."""
+    return bpe.encode_decode(docs).select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 STAGES = [
