@@ -11,9 +11,11 @@ What varies, is optional or is repeated with other texts is the pages' own; what
 pages, also as a repeated group, is template. Elements and words in class, id and role choose among
 what is the pages' own: menus, headers, footers, sidebars, notices, adverts, forms and reader
 comments are left out, and an article that they tell of is taken alone and whole, unless the pages' own text outside of it
-outweighs it. Else all text of the pages' own is taken, and what is constant in between. If the words
-leave nothing, what varies is taken against the weaker ones. On hosts with one page, or
-copies of one, elements and words decide alone.
+outweighs it. Else all text of the pages' own is taken, and what is constant in between. What varies
+overrules them: a part that they leave out is taken back in where it holds so much of what varies on
+the host's pages that it outweighs the rest, as a form, a menu left open or an element with words
+such as "cookies-accepted" around the whole article. If the words leave nothing, what varies is taken
+against the weaker ones. On hosts with one page, or copies of one, all text counts as varying.
 
 Cases: a null html counts as empty and gives the empty text; a null url belongs to the host "";
 unclosed and cut-off tags are closed by what follows; repeated rows stay; texts of any length are
@@ -55,6 +57,7 @@ WHOLE_PAGE = frozenset(["html", "body"])
 MODIFIERS = frozenset("disabled enabled has is no not with without".split())
 #: Words that even an article element outside of any other article is left out for.
 COMMENT = frozenset(["comment", "comments"])
+COMMENT_WORDS = COMMENT | {"disqus", "respond"}
 #: What may stand in <head>; anything else ends it.
 IN_HEAD = frozenset("base head link meta noscript script style template title".split())
 
@@ -68,6 +71,10 @@ OUTWEIGHED = 4
 #: Longest group, in tokens or groups, that is tried as a repetition.
 LONGEST_GROUP = 24
 REPEATED = re.compile("(.{1,%d}?)\\1+" % LONGEST_GROUP, re.DOTALL)
+#: The same for a part that has an article's element, words or heading.
+OUTWEIGHED_ARTICLE = 2
+#: Pairs of places, one bit each, that an alignment holds at once.
+MOST_CELLS = 1 << 27
 #: Wrappers merged in a node of the tree; parts that the pages of a host are dealt to for extraction.
 FAN_IN, SALTS = 64, 64
 
@@ -162,22 +169,37 @@ def stream(page: str) -> tuple[list[str], list[str], list[bool]]:
     return labels, texts, breaks
 
 
-@lru_cache(100_000)
-def place(label: str, weak: bool = True) -> int:
-    """2 for a slot in an article, 1 for one elsewhere, 0 for one in another part of the page, told by elements and words; without ``weak``, not by ``WEAK_WORDS``."""
-    article = False
+@lru_cache(200_000)
+def placed(label: str, overruled: frozenset[str] = frozenset(), weak: bool = True) -> tuple[int, str]:
+    """2 for a slot in an article, 1 for one elsewhere, 0 for one in another part of the page, told by elements and words, and the path of the part.
+
+    Without ``weak``, ``WEAK_WORDS`` aren't heeded; what the paths in ``overruled`` say of other parts isn't either.
+    """
+    article, path = False, ""
     for step in label.split(">")[:-1]:
+        path += step + ">"
         name, *own = step.split(".")
         own = set(own) if weak else set(own) - WEAK_WORDS
-        other = OTHER_WORDS & own
-        if name in ARTICLE_ELEMENTS and not article:
-            other &= COMMENT
-        if name in OTHER_ELEMENTS or other:
-            return 0
-        if not article and name not in ARTICLE_ELEMENTS and (name == "header" or OUTSIDE_WORDS & own):
-            return 0
+        if path not in overruled:
+            other = OTHER_WORDS & own
+            if name in ARTICLE_ELEMENTS and not article:
+                other &= COMMENT
+            if name in OTHER_ELEMENTS or other:
+                return 0, path
+            if not article and name not in ARTICLE_ELEMENTS and (name == "header" or OUTSIDE_WORDS & own):
+                return 0, path
         article = article or name in ARTICLE_ELEMENTS or bool(ARTICLE_WORDS & own)
-    return 2 if article else 1
+    return (2 if article else 1), ""
+
+
+def place(label: str, overruled: frozenset[str] = frozenset(), weak: bool = True) -> int:
+    return placed(label, overruled, weak)[0]
+
+
+def like_article(steps: str) -> bool:
+    """Whether an element on a path is an article's, or its heading."""
+    own = [set(step.split(".")) for step in steps.split(">")[:-1]]
+    return not any(COMMENT_WORDS & x and not ARTICLE_WORDS & x for x in own) and any(x & (ARTICLE_ELEMENTS | ARTICLE_WORDS | {"h1"}) for x in own)
 
 
 def checksum(text: str) -> int:
@@ -197,45 +219,80 @@ def joined(sums: list[int | None]) -> int | None:
     return value << 32 | number
 
 
-def aligned(a: str, b: str) -> list[tuple[int, int]]:
-    """Pairs of places of a longest common subsequence."""
+def rows_of(x: str, y: str) -> Iterator[int]:
+    """For each prefix of ``y``, the bit row of its longest common subsequences with the prefixes of ``x``: bit i is 0 where one more character of ``x`` makes it longer."""
+    places: dict[str, int] = {}
+    for i, v in enumerate(x):
+        places[v] = places.get(v, 0) | 1 << i
+    full = (1 << len(x)) - 1
+    row = full
+    for v in y:
+        matches = row & places.get(v, 0)
+        row = (row + matches | row - matches) & full
+        yield row
+
+
+def lengths(x: str, y: str) -> Any:
+    """Lengths of the longest common subsequences of ``y`` with each prefix of ``x``, the empty one first."""
     import numpy as np
 
+    for row in rows_of(x, y):
+        pass
+    bits = np.unpackbits(np.frombuffer(row.to_bytes(-(-len(x) // 8), "little"), np.uint8), bitorder="little")[: len(x)]
+    return np.concatenate([[0], np.cumsum(1 - bits.astype(np.int64))])
+
+
+def aligned(a: str, b: str) -> list[tuple[int, int]]:
+    """Pairs of places of a longest common subsequence.
+
+    Parts of up to ``MOST_CELLS`` pairs of places are traced back through their bit rows; larger
+    ones are halved where the lengths for both halves add up to the most, so that memory stays
+    linear in the longer page.
+    """
     low = 0
     while low < min(len(a), len(b)) and a[low] == b[low]:
         low += 1
     high = 0
     while high < min(len(a), len(b)) - low and a[-1 - high] == b[-1 - high]:
         high += 1
-    x, y = a[low : len(a) - high], b[low : len(b) - high]
     pairs = [(i, i) for i in range(low)]
-    if x and y:
-        number = {v: i for i, v in enumerate(dict.fromkeys(x + y))}
-        across = np.array([number[v] for v in y])
-        table = np.zeros((len(x) + 1, len(y) + 1), np.int32)
-        for i, v in enumerate(x):
-            table[i + 1, 1:] = np.maximum.accumulate(np.maximum(table[i, 1:], table[i, :-1] + (across == number[v])))
+    todo = [(low, len(a) - high, low, len(b) - high)]
+    while todo:
+        left, right, top, bottom = todo.pop()
+        x, y = a[left:right], b[top:bottom]
+        if not x or not y:
+            continue
+        if len(y) > 1 and len(x) * len(y) > MOST_CELLS:
+            middle = len(y) // 2
+            cut = int((lengths(x, y[:middle]) + lengths(x[::-1], y[middle:][::-1])[::-1]).argmax())
+            todo += [(left + cut, right, top + middle, bottom), (left, left + cut, top, top + middle)]
+            continue
+        rows = list(rows_of(x, y))
         i, j, back = len(x), len(y), []
         while i and j:
-            if x[i - 1] == y[j - 1] and table[i, j] == table[i - 1, j - 1] + 1:
-                i, j = i - 1, j - 1
-                back.append((low + i, low + j))
-            elif table[i - 1, j] >= table[i, j - 1]:
+            if rows[j - 1] >> (i - 1) & 1:
                 i -= 1
-            else:
-                j -= 1
+                continue
+            j -= 1
+            if not j or rows[j - 1] >> (i - 1) & 1:
+                i -= 1
+                back.append((left + i, top + j))
         pairs += reversed(back)
     return pairs + [(len(a) - k, len(b) - k) for k in range(high, 0, -1)]
 
 
+def added(x: dict[str, int], y: dict[str, int]) -> dict[str, int]:
+    return {**x, **{k: x.get(k, 0) + n for k, n in y.items()}} if y else x
+
+
 class Wrapper:
     """The regular expression of a host's pages.
 
     Inside, each label and each repeated group is one character, so that a stream is a string.
     ``names`` are the labels, ``groups`` what a group's character repeats, in the order of their
     finding. An item is [character, pages that have it, checksum of its text or None if it varies,
-    characters of its text inside of articles and elsewhere by ``place``, over all pages]; one that
-    fewer than all pages have is optional. Copies of a page say nothing of what is constant,
+    characters of its text over all pages by the label of their slots]; one that fewer than all
+    pages have is optional. Copies of a page say nothing of what is constant,
     so ``first`` is the digest of the first page's tokens and texts and ``many`` whether another differs.
     """
 
@@ -301,7 +358,10 @@ class Wrapper:
         for c, i, j in zip(folded, starts, [*starts[1:], len(items)]):
             run = items[i:j]
             constant = joined([x[2] for x in run]) if j == i + 1 or all(x[1] == pages for x in run) else None
-            out.append([c, max(x[1] for x in run), constant, sum(x[3] for x in run), sum(x[4] for x in run)])
+            sizes = run[0][3]
+            for x in run[1:]:
+                sizes = added(sizes, x[3])
+            out.append([c, max(x[1] for x in run), constant, sizes])
         return out
 
     def take(self, pages: int, items: list[list[Any]]) -> None:
@@ -317,7 +377,7 @@ class Wrapper:
         pairs = self.align("".join(x[0] for x in items))
         for i, j in pairs:
             x, y = self.items[i], items[j]
-            self.items[i] = [x[0], x[1] + y[1], x[2] if x[2] == y[2] else None, x[3] + y[3], x[4] + y[4]]
+            self.items[i] = [x[0], x[1] + y[1], x[2] if x[2] == y[2] else None, added(x[3], y[3])]
         if len(pairs) < len(items):
             out, i, j = [], 0, 0
             for a, b in [*pairs, (len(self.items), len(items))]:
@@ -333,9 +393,8 @@ class Wrapper:
         self.differs(hashlib.sha256("\0".join([*labels, *texts]).encode("utf-8", "surrogatepass")).hexdigest())
         items = []
         for x, text in zip(labels, texts):
-            slot = place(x) if x[-1] == "#" else 0
-            size = len(text.strip()) if slot else 0
-            items.append([self.char(x), 1, checksum(text), size if slot == 2 else 0, size if slot == 1 else 0])
+            size = len(text.strip())
+            items.append([self.char(x), 1, checksum(text), {x: size} if size else {}])
         self.take(1, self.folded(items, "".join(x[0] for x in items), 1))
 
     def merge(self, other: Wrapper) -> None:
@@ -370,24 +429,72 @@ class Wrapper:
                 out.update(range(starts[b], ends[b]))
         return out
 
+    @cached_property
+    def weights(self) -> dict[str, int]:
+        """Characters by label that differ between the host's pages; on a host with one page, or copies of one, all of them."""
+        out: dict[str, int] = {}
+        for x in self.items:
+            if not self.many or x[2] is None or x[1] < self.pages:
+                for label, n in x[3].items():
+                    out[label] = out.get(label, 0) + n
+        return out
+
+    @cached_property
+    def overruled(self) -> frozenset[str]:
+        """Paths of parts that elements and words put outside of the article, but that hold what differs between pages.
+
+        One by one, the heaviest such part is taken back in, those with an article's element, words
+        or heading first, while it outweighs what is left by ``OUTWEIGHED`` (``OUTWEIGHED_ARTICLE``
+        with such). A labelled article that isn't outweighed itself ends this, and parts of reader
+        comments are taken back in only if nothing else differs.
+        """
+        out: frozenset[str] = frozenset()
+        while True:
+            left, held, articles = [0, 0, 0], {}, set()
+            for label, n in self.weights.items():
+                at, path = placed(label, out)
+                left[at] += n
+                if not at:
+                    held[path] = held.get(path, 0) + n
+                    if like_article(path[path[:-1].rfind(">") + 1 :] + label[len(path) :]):
+                        articles.add(path)
+            if not held or left[2] and left[2] * OUTWEIGHED >= left[1]:
+                return out
+            for path in sorted(held, key=lambda p: (p not in articles, -held[p], p)):
+                words = set(path[path[:-1].rfind(">") + 1 : -1].split("."))
+                if held[path] > left[1] * (OUTWEIGHED_ARTICLE if path in articles else OUTWEIGHED) and (path in articles or not left[1] or not words & COMMENT_WORDS):
+                    out |= {path}
+                    break
+            else:
+                return out
+
     @cached_property
     def confirmed(self) -> bool:
         """Whether what differs between the host's pages doesn't outweigh what words tell of as their article."""
-        elsewhere = sum(x[4] for x in self.items if x[2] is None or x[1] < self.pages)
-        return not self.many or sum(x[3] for x in self.items) * OUTWEIGHED >= elsewhere
+        inside = sum(n for label, n in self.sizes.items() if place(label, self.overruled) == 2)
+        return not self.many or inside * OUTWEIGHED >= sum(n for label, n in self.weights.items() if place(label, self.overruled) == 1)
+
+    @cached_property
+    def sizes(self) -> dict[str, int]:
+        """Characters by label of all the host's pages."""
+        out: dict[str, int] = {}
+        for x in self.items:
+            for label, n in x[3].items():
+                out[label] = out.get(label, 0) + n
+        return out
 
     def kept(self, labels: list[str], texts: list[str]) -> set[int]:
         """The tokens whose text is that of the article."""
         fixed = self.template(labels)
-        slots = [i for i, (x, t) in enumerate(zip(labels, texts)) if x[-1] == "#"]
-        places = {i: place(labels[i]) for i in slots}
+        slots = [i for i, x in enumerate(labels) if x[-1] == "#"]
+        places = {i: place(labels[i], self.overruled) for i in slots}
         shown = [i for i in slots if texts[i].strip()]
         inside = any(places[i] == 2 for i in shown)
         if inside and self.confirmed:
             return {i for i in slots if places[i] == 2}
         out = {i for i in slots if places[i] == 2 or places[i] == 1 and i not in fixed}
         if self.many and not any(i in out for i in shown):  # the words leave nothing: what differs is the article
-            out = {i for i in slots if i not in fixed and place(labels[i], weak=False)}
+            out = {i for i in slots if i not in fixed and place(labels[i], self.overruled, weak=False)}
         if not any(i in out for i in shown):
             out = {i for i in slots if places[i]}
         own = [i for i in shown if i in out]
