@@ -2,8 +2,9 @@
 
 A Misra-Gries summary of the digests names the few texts that may be very frequent. Their exact
 counts and winners are verified in a second pass; being at most ``counters`` rows, they are
-broadcast, so that copies of frequent texts are settled where they are read. All other digests,
-whose groups are small by the summary's bound, take the ordinary shuffle.
+broadcast, so that copies of frequent texts are settled where they are read. All other digests
+take the ordinary shuffle; by the summary's bound none of them holds more than about three
+quarters of what a shuffle partition has on average, whatever the number of rows.
 
 Cases: a null text counts as empty; empty texts are one group; of equal texts the row with the
 largest id stays (a null id is the smallest); of repeated rows one stays; an empty table gives an
@@ -19,8 +20,12 @@ from pyspark.sql import functions as F
 
 from tabular_spark.llm.common import as_record, stored, text_of
 
-#: Misra-Gries counters. A text held by more than 3/1001 of all rows is always found.
-COUNTERS = 1000
+#: Misra-Gries counters at least, and for each shuffle partition. A text held by more than 3/(counters + 1) of all rows is always found.
+COUNTERS, PER_PARTITION = 1000, 4
+
+
+def counters_for(df: DataFrame) -> int:
+    return max(COUNTERS, PER_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -28,7 +33,7 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return docs.select(F.col(id_col).alias("doc_id"), F.monotonically_increasing_id().alias("row"), F.unhex(F.sha2(text_of(text_col), 256)).alias("digest"))
 
 
-def misra_gries(keys: DataFrame, counters: int = COUNTERS) -> DataFrame:
+def misra_gries(keys: DataFrame, counters: int) -> DataFrame:
     """At most ``counters`` candidates for the most frequent values of the only column of ``keys``.
 
     Each task keeps ``counters`` counters and merges batch by batch: when there are more, the
@@ -56,8 +61,9 @@ def misra_gries(keys: DataFrame, counters: int = COUNTERS) -> DataFrame:
     return found.orderBy(F.desc("n"), name).limit(counters).select(name)
 
 
-def groups(slim: DataFrame, counters: int = COUNTERS) -> DataFrame:
-    """``slim`` of ``digests``, stored, with keep_id, keep_row and group_size."""
+def groups(slim: DataFrame, counters: int | None = None) -> DataFrame:
+    """``slim`` of ``digests``, stored, with keep_id, keep_row and group_size; ``counters`` are ``counters_for`` it if None."""
+    counters = counters or counters_for(slim)
     candidates = stored(misra_gries(slim.select("digest"), counters), "heavy-candidates")
     best = [F.count("*").alias("group_size"), F.max(F.struct("doc_id", "row")).alias("best")]
     least = 3 * slim.count() // (counters + 1)
@@ -70,13 +76,13 @@ def groups(slim: DataFrame, counters: int = COUNTERS) -> DataFrame:
     return heavy.select(*columns).unionByName(rest.select(*columns))
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counters: int = COUNTERS) -> DataFrame:
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counters: int | None = None) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256."""
     found = groups(stored(digests(docs, id_col, text_col), "digests"), counters)
     return found.select("doc_id", "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))
 
 
-def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counters: int = COUNTERS) -> DataFrame:
+def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counters: int | None = None) -> DataFrame:
     """``docs`` with one row of each group of equal texts, all columns kept.
 
     Only the rows to drop are looked up, by id and digest. Rows that repeat a kept one in id and
