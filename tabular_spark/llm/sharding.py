@@ -5,6 +5,11 @@ task's memory. Second pass: each bucket is put into a fixed order and then throu
 Fisher-Yates shuffle (what Spark's ``shuffle`` does to an array). The buckets, one after the
 other, are the shuffled order; shards are runs of it whose numbers of rows differ by one at most.
 
+The order depends on the records and the seed alone: a record's hash is of all its columns, rows
+that repeat one are counted and scattered by their number, and each bucket goes to the partition
+of its number and is shuffled there in turn, as ``shuffle`` draws by the partition's number. So
+neither the partitions of the input nor a task run anew change it.
+
 Cases: nulls, empty texts and repeated rows are records like any others (a null text has size 1
 and the checksum of the empty text); an empty table gives an empty result; all columns are
 carried in one struct, so no name can clash.
@@ -16,17 +21,33 @@ import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType
+
+from tabular_spark.llm.common import stored
+
+#: Bytes of records that a bucket holds on average, and partitions that buckets are dealt to; with more buckets than these, a partition holds several.
+BUCKET_BYTES, PARTS = 4 << 20, 1 << 16
+#: So many bucket offsets (16 bytes each) or digests of repeated records (32 bytes each) are broadcast at most; with more, they are joined by a shuffle.
+BROADCAST_ROWS = 1 << 20
+#: Rows that repeat a record are numbered in blocks of so many, each by a task of its own.
+REPEATS = 1 << 16
 
-from tabular_spark.llm.common import text_of
 
-#: Bytes of text that a bucket holds on average. The number of shuffle partitions is the session's, not that of buckets: one partition holds many.
-BUCKET_BYTES = 4 << 20
-#: So many bucket offsets (16 bytes each) are broadcast at most; with more, they are joined by a shuffle.
-BROADCAST_BUCKETS = 1 << 20
+def whole(docs: DataFrame) -> Column:
+    """All columns of a record as bytes that no other record has: texts as they are, after their lengths and the other columns in JSON."""
+    head, tail = [], []
+    for i, field in enumerate(docs.schema.fields):
+        column = F.col(f"`{field.name}`")
+        text = isinstance(field.dataType, (StringType, BinaryType))
+        head.append((F.octet_length(column) if text else column).alias(f"c{i}"))
+        tail += [F.coalesce(column.cast("binary"), F.expr("X''"))] if text else []
+    return F.concat(F.to_json(F.struct(*head), {"ignoreNullFields": "false"}).cast("binary"), *tail)
 
 
-def record_size(text_col: str = "text") -> Column:
-    return F.octet_length(text_of(text_col)).cast("long") + 1
+def numbered(repeated: DataFrame) -> DataFrame:
+    """Each row ``n`` times, with its ``ordinal``; a row repeated very often is dealt to many tasks."""
+    blocks = repeated.withColumn("low", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(REPEATS).cast("long")))).repartition("digest", "low")
+    return blocks.withColumn("ordinal", F.explode(F.sequence("low", F.least(F.col("low") + REPEATS, "n") - 1))).drop("low", "n")
 
 
 def bucket_offsets(sizes: DataFrame, block: int = 1024) -> DataFrame:
@@ -40,18 +61,28 @@ def bucket_offsets(sizes: DataFrame, block: int = 1024) -> DataFrame:
     return sizes.withColumn("inner", inner).join(blocks, "block").select("bucket", (F.col("block_before") + F.col("inner")).alias("before"))
 
 
-def shuffled(docs: DataFrame, shards: int, seed: int = 42, bucket_bytes: int = BUCKET_BYTES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def shuffled(docs: DataFrame, shards: int, seed: int = 42, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """(record, shard, slot): every record, whole, with its shard and its place in it."""
-    key = [F.col(id_col), F.col(text_col)]
-    rows, size = docs.agg(F.count("*"), F.coalesce(F.sum(record_size(text_col)), F.lit(0))).first()
+    record = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    every = docs.select(record.alias("record"), F.unhex(F.sha2(whole(docs), 256)).alias("digest"), F.octet_length(whole(docs)).cast("long").alias("bytes"))
+    slim = stored(every.groupBy("digest").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes")), "shard-keys")
+    rows, size, repeats = slim.agg(*[F.coalesce(F.sum(x), F.lit(0)) for x in ("n", "bytes")], F.count_if(F.col("n") > 1)).first()
     buckets = max(1, math.ceil(size / bucket_bytes))
-    bucket = F.pmod(F.xxhash64(F.lit(seed), *key), F.lit(buckets)).cast("int").alias("bucket")
-    offsets = bucket_offsets(docs.select(bucket).groupBy("bucket").agg(F.count("*").alias("rows")))
-    record = F.struct(F.xxhash64(F.lit(seed + 1), *key).alias("order"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("record"))
-    scattered = docs.select(bucket, record.alias("row")).repartition("bucket")
-    by_order = "array_sort(collect_list(row), (a, b) -> CASE WHEN a.order < b.order THEN -1 WHEN a.order > b.order THEN 1 ELSE 0 END)"
-    mixed = scattered.groupBy("bucket").agg(F.expr(by_order).alias("rows")).select("bucket", F.shuffle("rows", seed).alias("rows"))
-    placed = mixed.join(F.broadcast(offsets) if buckets <= BROADCAST_BUCKETS else offsets, "bucket")
+    parts = min(buckets, PARTS)
+    bucket = F.pmod(F.xxhash64(F.lit(seed), "digest", "ordinal"), F.lit(buckets)).cast("int").alias("bucket")
+    first = F.lit(0).cast("long").alias("ordinal")
+    keys = slim.where("n = 1").select("digest", first).unionByName(numbered(slim.where("n > 1").select("digest", "n")))
+    offsets = bucket_offsets(keys.select(bucket).groupBy("bucket").agg(F.count("*").alias("rows")))
+    names = slim.where("n > 1").select("digest")
+    names = F.broadcast(names) if repeats <= BROADCAST_ROWS else names
+    once = every.join(names, "digest", "left_anti").select("record", "digest", first)
+    again = numbered(every.join(names, "digest", "left_semi").groupBy("digest").agg(F.first("record").alias("record"), F.count("*").alias("n")))
+    row = F.struct(F.xxhash64(F.lit(seed + 1), "digest", "ordinal").alias("order"), "digest", "ordinal", "record").alias("row")
+    scattered = once.unionByName(again).select(bucket, row).withColumn("part", F.pmod("bucket", F.lit(parts))).repartitionById(parts, "part")
+    by_order = "array_sort(collect_list(row), (a, b) -> CASE " + " ".join(f"WHEN a.{x} < b.{x} THEN -1 WHEN a.{x} > b.{x} THEN 1" for x in ("order", "digest", "ordinal")) + " ELSE 0 END)"
+    ordered = scattered.groupBy("part", "bucket").agg(F.expr(by_order).alias("rows")).sortWithinPartitions("part", "bucket")
+    mixed = ordered.select("bucket", F.shuffle("rows", seed).alias("rows"))
+    placed = mixed.join(F.broadcast(offsets) if buckets <= BROADCAST_ROWS else offsets, "bucket")
     at = placed.select("before", F.posexplode("rows").alias("pos", "row")).select(F.col("row.record").alias("record"), (F.col("before") + F.col("pos")).alias("at"))
     at = at.withColumn("shard", F.expr(f"cast(({shards}L * (at + 1) - 1) div {max(1, rows)}L as int)"))
     return at.select("record", "shard", F.expr(f"at - (shard * {rows}L) div {shards}L").alias("slot"))

@@ -1,10 +1,12 @@
 """Shapes that once hung, and repeated rows in a mix."""
 
 import time
+from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
-from tabular_spark.llm import mixing, secrets
+from tabular_spark.llm import exact_dedup, mixing, secrets, sharding
 
 DOCS = "doc_id long, text string, lang string, source string"
 SHAPES = {
@@ -50,3 +52,31 @@ def test_a_mix_with_repeated_rows_meets_its_target(spark):
     assert repeated[-1] - repeated[0] <= 3  # rows of one item differ by one copy at most
     words = sum(len(r.text.split()) for r in mixing.mixed(docs).collect())
     assert words == sum(r.taken for r in got)
+
+
+def test_shards_depend_on_records_and_seed_alone(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "REPEATS", 64)
+    rows = [(i, f"text {i} " * 20, None, "a") for i in range(2000)] + [(None, "same", None, "b")] * 700 + [(7, "same", "b", None), (7, "same", None, "b")]
+    docs = spark.createDataFrame(rows, DOCS).withColumn("odd", F.create_map(F.lit("k"), F.struct(F.lit(0.0), F.col("doc_id")))).select("*", F.lit(1).alias("bucket"), F.lit(2).alias("ordinal"))
+    before, found = spark.conf.get("spark.sql.shuffle.partitions"), []
+    monkeypatch.setattr(sharding, "PARTS", 5)
+    for partitions, parts in ((8, 13), (5, 3), (3, 1)):
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        got = sharding.shuffled(docs.orderBy("text").repartition(parts), 7, bucket_bytes=20_000).select("record.*", "shard", "slot").orderBy("shard", "slot").collect()
+        found.append([(*r[:4], r["shard"], r["slot"]) for r in got])
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert found[0] == found[1] == found[2]
+    assert Counter(x[:4] for x in found[0]) == Counter(rows)
+    assert [x[4:] for x in found[0]] == [(s, i) for s in range(7) for i in range(sum(x[4] == s for x in found[0]))]
+    in_shards = Counter(x[4] for x in found[0] if x[1] == "same")
+    assert len(in_shards) == 7 and max(in_shards.values()) < 200  # not in one bucket
+    other = sharding.shuffled(docs, 7, seed=43, bucket_bytes=20_000).select("record.*").collect()
+    assert [tuple(r[:4]) for r in other] != [x[:4] for x in found[0]]
+
+
+def test_counters_grow_with_the_shuffle_partitions(spark):
+    docs, before = spark.createDataFrame([(1, "a", None, None)], DOCS), spark.conf.get("spark.sql.shuffle.partitions")
+    assert exact_dedup.counters_for(docs) == 1000
+    spark.conf.set("spark.sql.shuffle.partitions", 3000)
+    assert exact_dedup.counters_for(docs) == 12000
+    spark.conf.set("spark.sql.shuffle.partitions", before)
