@@ -41,6 +41,8 @@ MARGIN = 0.2
 BLOCK = 128
 #: Nodes in a block of a part that is still large at full depth; only tokens are compared there, so two such blocks are about a megabyte.
 PART_BLOCK = 2048
+#: So many parts at most (16 bytes each) are broadcast with their sizes at a level; their rows aren't brought together to be counted off. No other part has more than this share of the rows, or ``LEAF``.
+BROADCAST_PARTS = 1 << 16
 CHUNK = 4 << 20
 
 
@@ -275,8 +277,11 @@ def candidate_edges(nodes: DataFrame, similarity: float, recall: float, tokens:
         other = (F.pmod(F.xxhash64("path", F.lit("second")), F.lit(1000)) < second) & (coordinate[0] != coordinate[1])
         parts = F.filter(F.array(coordinate[0], F.when(other, coordinate[1])), lambda c: c.isNotNull())
         split = now.withColumn("c", F.explode(parts)).select("node", F.xxhash64("path", "c", F.element_at("tokens", F.col("c") + 1)).alias("part"))
-        sizes = split.groupBy("part").agg(F.count("*").alias("members")).where("members > 1")
-        kept = stored(split.join(sizes, "part").join(slim, "node"), f"paths-{level}")
+        sizes = stored(split.groupBy("part").agg(F.count("*").alias("members")).where("members > 1"), f"sizes-{level}")
+        most = max(LEAF, (sizes.agg(F.sum("members")).first()[0] or 0) // BROADCAST_PARTS)
+        largest = F.broadcast(sizes.where(F.col("members") > most))
+        others = split.join(largest.select("part"), "part", "left_anti").join(sizes.where(F.col("members") <= most), "part")
+        kept = stored(split.join(largest, "part").unionByName(others).join(slim, "node"), f"paths-{level}")
         small = kept.where(F.col("members") <= LEAF).withColumn("side", F.lit(0)).withColumn("whole", F.lit(True))
         large = kept.where(F.col("members") > LEAF)
         if level == DEPTH:
