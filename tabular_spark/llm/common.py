@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -21,24 +24,44 @@ def shared_dir(spark: SparkSession) -> str:
     return (base or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch").rstrip("/")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Writes ``df`` to the shared folder and reads it back.
+#: The folder, in the shared one, of what the work in hand stores.
+FOLDER: ContextVar[str] = ContextVar("FOLDER", default="")
+
+
+def deleted(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession, name: str) -> Iterator[None]:
+    """What is ``stored`` inside goes to one folder, deleted at the end; results still to be computed from it must be stored with ``lasting`` before."""
+    folder = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    token = FOLDER.set(folder)
+    try:
+        yield
+    finally:
+        FOLDER.reset(token)
+        deleted(spark, folder)
+
+
+def stored(df: DataFrame, name: str, lasting: bool = False) -> DataFrame:
+    """Writes ``df`` to the shared folder and reads it back; ``lasting``, outside of the folder of a ``scratch``.
 
     This cuts the lineage: what a lost executor held is read again from the folder, and what
     was numbered or sampled on the way keeps its values.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    folder = "" if lasting else FOLDER.get()
+    path = f"{folder or shared_dir(spark) + '/' + spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def removed(df: DataFrame) -> None:
     """Deletes the files of a table that ``stored`` wrote, once nothing reads it any more."""
-    spark = df.sparkSession
-    for file in {f.rpartition("/")[0] for f in df.inputFiles()}:
-        path = spark._jvm.org.apache.hadoop.fs.Path(file)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+        deleted(df.sparkSession, folder)
 
 
 def text_of(column: str = "text") -> Column:

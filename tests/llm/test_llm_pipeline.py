@@ -8,7 +8,7 @@ import pytest
 from test_llm_operators import SCHEMA, brute_classes
 
 import corpus_pipeline
-from tabular_spark.llm import quality
+from tabular_spark.llm import common, quality
 from tabular_spark.llm.queries import ORACLES, QUERIES
 
 
@@ -62,3 +62,10 @@ def test_stages_on_no_documents(spark, sf):
     docs = spark.createDataFrame([], SCHEMA)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, sf).count() == 0
+
+
+def test_tables_written_on_the_way_are_removed(spark, sf, tmp_path, monkeypatch):
+    monkeypatch.setattr(common, "shared_dir", lambda spark: str(tmp_path))
+    got = corpus_pipeline.run(spark, sf)
+    left = [x.name.rpartition("-")[0] for x in next(tmp_path.iterdir()).iterdir()]
+    assert left == [f"pipeline-{len(corpus_pipeline.STAGES) - 2}"] and got.count() > 0
