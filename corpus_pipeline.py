@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabular_spark.llm import bpe, exact_dedup, mixing, quality, similarity_join
-from tabular_spark.llm.common import stored, table
+from tabular_spark.llm.common import removed, scratch, stored, table
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,9 +47,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows; of the tables written on the way, only its input is left."""
     docs = table(spark, sf_dir, "documents")
-    for number, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if number < len(STAGES) - 1:
-            docs = stored(docs, f"pipeline-{number}")
-    return docs
+    for number, (_, stage) in enumerate(STAGES[:-1]):
+        with scratch(spark, f"stage-{number}"):
+            kept = stored(stage(spark, docs, sf_dir), f"pipeline-{number}", lasting=True)
+        if number:
+            removed(docs)
+        docs = kept
+    return STAGES[-1][1](spark, docs, sf_dir)
