@@ -5,10 +5,13 @@ A whole text, each block of it between blank lines and each line is brought into
 single spaces) and its digest is hash-joined with those of known license texts, canonicalised by
 the same expression. The known texts are a short fixed list, so they are broadcast.
 
-Texts of several paragraphs (``license_texts/``) are known by the digests of their blocks, and a
-document holds one where all of them stand in a row, whatever comes before or after: digest and
-place are joined, and runs with every place of the text are kept. Titles and copyright lines, with
-or without a year, are off; texts of up to ``MOST_JOINED`` blocks are known in every paragraphing.
+Texts of several paragraphs (``license_texts/``) are found wherever they stand, however they are
+broken into lines and paragraphs: the whole document is brought into one line, cut before every
+occurrence of a known text's first ``FIRST`` words, and from each cut the digests of as many
+characters as the known texts with these first words have are looked up. This is done with titles
+and copyright lines off, with or without a year, and with them; holders' names are made one. One-
+line notices (``KNOWN``) must be a unit or a block of their own, as a sentence may only speak of a
+license.
 
 Cases: a null text counts as empty; empty texts and units match nothing; repeated rows get the
 same result each; an empty table gives an empty result; only the named columns are read.
@@ -16,7 +19,7 @@ same result each; an empty table gives an empty result; only the named columns a
 
 from __future__ import annotations
 
-import itertools
+import hashlib
 import re
 from pathlib import Path
 
@@ -63,19 +66,24 @@ PUNCTUATION, LINE_END = r"[^\p{L}\p{N}\n]+", r" ?\n ?"
 MARKS = ("licen", "permission", "redistribution")
 #: Ends of lines between two blocks; any number of them.
 BETWEEN_BLOCKS, LINE_ENDS = r"\n\n+", r"\n+"
-#: Texts of several paragraphs, in files named after their SPDX identifiers; blocks that are tried joined in every way.
-TEXTS, MOST_JOINED = Path(__file__).with_name("license_texts"), 6
+#: Texts of several paragraphs, in files named after their SPDX identifiers; how many of their first words they are looked for by.
+TEXTS, FIRST = Path(__file__).with_name("license_texts"), 6
 #: What ends the terms of a license, before advice on how to apply it.
 END_OF_TERMS = "END OF TERMS AND CONDITIONS"
-#: Lines that aren't of the license itself: who holds the copyright, with or without a year, and its title.
-HOLDER_LINE = r"(?m)^[^\p{L}\p{N}\n]*(copyright\b[ \t]*+(\(c\)|©)?+|©)[ \t:]*+(?!(and|in|interest|interests|law|laws|license|licenses|notice|notices|holder|holders|on|or|owner|owners|permission|statement|to|treaty)\b)[^\n]*$"
+#: Lines that aren't of the license itself: who holds the copyright, with or without a year (unless the terms follow in the same line), and its title.
+TERMS_FOLLOW = r"(?![^\n]*(?:permission is hereby|permission to use|redistribution and use|licen[cs]ed under))"
+HOLDER_LINE = (
+    r"(?m)^[^\p{L}\p{N}\n]*(copyright\b[ \t]*+(\(c\)|©)?+|©)" + TERMS_FOLLOW
+    + r"[ \t:]*+(?!(and|in|interest|interests|law|laws|license|licenses|notice|notices|holder|holders|on|or|owner|owners|permission|statement|to|treaty)\b)[^\n]*$"
+)
+YEAR_LINE = r"(?m)^[^a-z0-9\n]*(copyright|\(c\)|©)" + TERMS_FOLLOW + r"[^\n]*(19|20)[0-9][0-9][^\n]*$"
 TITLE_LINE = r"(?m)^ ?((the )?(mit|expat|isc|x11|zlib|boost software|bsd|([023]|two|three|new|modified|simplified|revised) (clause )?bsd)( [a-z0-9]+){0,3}? licen[cs]e( [a-z0-9]{1,7}){0,4}|all rights reserved) ?$"
-#: Numbers of the conditions, and names that stand for the holder.
-CONDITION = r"(?m)^ ?([0-9]|[a-z]|[ivx]{1,3}) (?=redistributions|neither the name)"
+#: Numbers of the conditions; names that stand for the holder (what comes before them, up to where they go, what all becomes).
+CONDITION = r"(?<![^ ])(?:[0-9]|[a-z]|[ivx]{1,3}) (?=redistributions |neither the name)"
 NAMES = (
-    (r"neither the names? of .{1,120}? (?:nor|or) the names of (?:its|any|other|the)(?: other)? contributors", "neither the name of the copyright holder nor the names of its contributors"),
-    (r"software is provided by .{1,120}? as is", "software is provided by the copyright holders and contributors as is"),
-    (r"in no event shall .{1,120}? be liable for any direct", "in no event shall the copyright holder or contributors be liable for any direct"),
+    (r"neither the names? of ", r".+? (?:nor|or) the names of (?:its|any|other|the)(?: other)? contributors", "neither the name of the copyright holder nor the names of its contributors"),
+    (r"software is provided by ", r".+? as is", "software is provided by the copyright holders and contributors as is"),
+    (r"in no event shall ", r".+? be liable for any direct", "in no event shall the copyright holder or contributors be liable for any direct"),
 )
 
 
@@ -125,52 +133,80 @@ def hits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
 
 def bare_lines(text: Column) -> Column:
-    """``plain_lines`` without lines of titles and holders, and without numbers of conditions."""
-    lines = plain_lines(F.regexp_replace(F.lower(text), HOLDER_LINE, ""))
-    return F.regexp_replace(F.regexp_replace(lines, TITLE_LINE, ""), CONDITION, "")
+    """Like ``plain_lines``, but all lines of titles and holders are off."""
+    lines = F.regexp_replace(F.regexp_replace(F.lower(text), HOLDER_LINE, ""), YEAR_LINE, "")
+    return F.regexp_replace(F.regexp_replace(F.regexp_replace(lines, PUNCTUATION, " "), LINE_END, "\n"), TITLE_LINE, "")
+
+
+def forms(text: Column) -> Column:
+    """The canonical forms of a text without lines of titles and holders, and with them, as they may stand inside other lines; both without numbers of conditions."""
+    every = F.regexp_replace(F.regexp_replace(F.lower(text), PUNCTUATION, " "), LINE_END, "\n")
+    return F.array_distinct(F.transform(F.array(bare_lines(text), every), lambda x: F.regexp_replace(one_line(x), CONDITION, "")))
 
 
-def bare_blocks(text: Column) -> Column:
-    """The canonical forms of the blocks of a text that has one at all."""
+def one_holder(form: Column) -> Column:
+    """Holders' names of any length made one; each is read from one mention to the next only."""
+    for before, name, becomes in NAMES:
 
-    def form(block: Column) -> Column:
-        out = one_line(block)
-        for written, becomes in NAMES:
-            out = F.regexp_replace(out, written, becomes)
-        return out
+        def renamed(part: Column, pattern: str = f"^{before}{name}", becomes: str = becomes) -> Column:
+            return F.regexp_replace(part, pattern, becomes)
 
-    return F.filter(F.transform(F.split(bare_lines(text), BETWEEN_BLOCKS), form), lambda x: x != "")
+        form = F.array_join(F.transform(F.split(form, f"(?={before})"), lambda x: renamed(x)), "")
+    return form
 
 
-def known_runs(spark: SparkSession) -> DataFrame:
-    """(license, run, place, length, block digest) of the texts of several paragraphs, in each paragraphing that is tried."""
-    found = list(KNOWN)
+def known_texts(spark: SparkSession) -> list[tuple[str, str]]:
+    """(license, form) of the fixed texts of several paragraphs, with and without what follows the end of their terms."""
+    found = []
     for path in sorted(TEXTS.glob("*.txt")):
         name, text = path.name.removesuffix(".txt").removesuffix(".notice"), path.read_text(encoding="utf-8")
-        for part in {text, text.partition(END_OF_TERMS)[0], text.partition(END_OF_TERMS)[0] + END_OF_TERMS if END_OF_TERMS in text else text}:
-            blocks = re.split(r"\n\s*\n", part.strip())
-            if len(blocks) > MOST_JOINED:
-                found += [(name, part), (name, re.sub(r"\n\s*\n", "\n", part))]
-            else:
-                found += [(name, blocks[0] + "".join(a + b for a, b in zip(ends, blocks[1:]))) for ends in itertools.product(("\n\n", "\n"), repeat=len(blocks) - 1)]
-    texts = spark.createDataFrame([(i, *x) for i, x in enumerate(found)], "run int, license string, text string")
-    blocks = texts.select("license", "run", bare_blocks(F.col("text")).alias("blocks"))
-    return blocks.select("license", "run", F.size("blocks").alias("length"), F.posexplode("blocks").alias("place", "form")).select("license", "run", "length", "place", F.sha2("form", 256).alias("digest"))
-
-
-def runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, hash, whole, license) of the runs of blocks that are a known text."""
+        terms, end, _ = text.partition(END_OF_TERMS)
+        found += [(name, x) for x in sorted({text, terms, terms + end})]
+    texts = spark.createDataFrame(found, "license string, text string")
+    each = texts.select("license", F.explode(forms(F.col("text"))).alias("form")).select("license", one_holder(F.col("form")))
+    return sorted({(r[0], r[1]) for r in each.collect()})
+
+
+def marked_texts(docs: DataFrame, id_col: str, text_col: str, **columns) -> DataFrame:
     text = text_of(text_col)
-    blocks = docs.where(marked(F.lower(text))).select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("hash"), bare_blocks(text).alias("blocks"))
-    placed = blocks.select("doc_id", "hash", F.size("blocks").alias("all"), F.posexplode("blocks").alias("at", "form")).select("doc_id", "hash", "all", "at", F.sha2("form", 256).alias("digest"))
-    found = placed.join(F.broadcast(known_runs(docs.sparkSession)), "digest").withColumn("start", F.col("at") - F.col("place")).where("start >= 0")
-    full = found.groupBy("doc_id", "hash", "all", "license", "run", "length", "start").agg(F.countDistinct("place").alias("places")).where("places = length")
-    return full.select("doc_id", "hash", (F.col("all") == F.col("length")).alias("whole"), "license")
+    return docs.where(marked(F.lower(text))).select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("hash"), *[c(text).alias(name) for name, c in columns.items()])
+
+
+def passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, hash, whole, license) of the known texts of several paragraphs, wherever they stand."""
+    texts = known_texts(docs.sparkSession)
+    first = {form: " ".join(form.split(" ")[:FIRST]) for _, form in texts}
+    start = f"(?<![^ ])(?=(?:{'|'.join(sorted(set(first.values())))})(?: |$))"
+    # a known text may hold first words itself, so it takes up to this many pieces
+    most, longest = max(len(re.findall(start, form)) for form in first), max(map(len, first))
+    rows = [(name, first[form], len(form), hashlib.sha256(form.encode()).hexdigest()) for name, form in texts]
+    known_ = docs.sparkSession.createDataFrame(rows, "license string, first string, length int, digest string")
+    cut = marked_texts(docs, id_col, text_col, form=lambda text: F.explode(forms(text))).select("doc_id", "hash", F.split("form", start).alias("pieces"))
+    joined = F.transform("pieces", lambda x, i: F.array_join(F.slice("pieces", i + 1, F.lit(most)), ""))
+    each = cut.select("doc_id", "hash", F.size("pieces").alias("all"), F.posexplode(joined).alias("at", "rest"))
+    each = each.where(F.col("rest").rlike(f"^{start}")).withColumn("rest", one_holder(F.col("rest")))
+    # one character more than any known text tells whether the last word ends there
+    each = each.select("doc_id", "hash", ((F.col("at") == 0) & (F.col("all") <= most)).alias("alone"), F.char_length("rest").alias("reach"), F.substring("rest", 1, longest + 1).alias("rest"))
+    found = each.withColumn("first", F.substring_index("rest", " ", FIRST)).join(F.broadcast(known_), "first")
+    found = found.where((F.sha2(F.expr("left(rest, length)"), 256) == F.col("digest")) & F.expr("substring(rest, length + 1, 1)").isin("", " "))
+    return found.select("doc_id", "hash", (F.col("alone") & (F.col("reach") == F.col("length"))).alias("whole"), "license")
+
+
+def notices(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, hash, whole, license) of the blocks that are a known notice once lines of titles and holders are off."""
+
+    def blocks(text: Column) -> Column:
+        return F.filter(F.transform(F.split(bare_lines(text), BETWEEN_BLOCKS), one_line), lambda x: x != "")
+
+    each = marked_texts(docs, id_col, text_col, blocks=blocks)
+    each = each.select("doc_id", "hash", (F.size("blocks") == 1).alias("whole"), F.explode("blocks").alias("form")).where(marked(F.col("form")))
+    return each.withColumn("digest", F.sha2("form", 256)).join(F.broadcast(known(docs.sparkSession)), "digest").select("doc_id", "hash", "whole", "license")
 
 
 def licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, is_license, licenses) of every document: whether the whole text is one, and all that it holds, sorted, comma-joined."""
-    both = hits(docs, id_col, text_col).select("doc_id", "hash", (F.col("unit") == 0).alias("whole"), "license").unionByName(runs(docs, id_col, text_col))
+    both = hits(docs, id_col, text_col).select("doc_id", "hash", (F.col("unit") == 0).alias("whole"), "license")
+    both = both.unionByName(passages(docs, id_col, text_col)).unionByName(notices(docs, id_col, text_col))
     found = both.groupBy("doc_id", "hash").agg(F.max("whole").alias("whole"), F.array_join(F.array_sort(F.collect_set("license")), ",").alias("licenses"))
     slim = docs.select(F.col(id_col).alias("_id"), F.xxhash64(text_of(text_col)).alias("_hash"))
     both = slim.join(found, slim["_id"].eqNullSafe(found["doc_id"]) & (slim["_hash"] == found["hash"]), "left")

@@ -10,6 +10,7 @@ import math
 import random
 import re
 import textwrap
+import time
 import zlib
 from collections import Counter, defaultdict
 from urllib.parse import quote
@@ -457,6 +458,40 @@ def test_licenses_of_several_paragraphs(spark):
         assert got[i][0] == whole and got[i][1] == names, (text[:200], got[i])
 
 
+def test_licenses_in_any_paragraphing(spark):
+    own = {x.name.removesuffix(".txt"): x.read_text(encoding="utf-8") for x in licenses.TEXTS.glob("*.txt")}
+    mit, flat = own["MIT"], {k: " ".join(x.split()) for k, x in own.items()}
+    holder = "a very long list of names " * 30
+    want = {
+        f"Foo Library\n{mit}": (False, "MIT"),
+        f"This file is free. {flat['MIT']} And more follows.": (False, "MIT"),
+        f"Copyright (c) 2020 Jo Doe. {flat['ISC']}": (False, "ISC"),
+        f"{flat['MIT']} {flat['MIT']} {flat['BSD-2-Clause']}": (False, "BSD-2-Clause,MIT"),
+        " ".join(flat["MIT"].split()[:-1]): (False, ""),
+        flat["MIT"].rstrip(".") + "s": (False, ""),
+        f"x {flat['MIT'].replace('without limitation', 'with limitation')}": (False, ""),
+        f"Intro {flat['BSD-3-Clause'].replace('the copyright holder nor', holder + 'nor')}": (False, "BSD-3-Clause"),
+        f"Permission is hereby granted, free of charge, to all. The software is provided by us. {flat['MIT']}": (False, "MIT"),
+        **{re.sub(r"\s+", lambda m, n=[0]: (n.__setitem__(0, n[0] + 1), "\n\n" if n[0] % 50 == 0 else " ")[1], own[k]): (True, k) for k in ("GPL-3.0", "MPL-2.0", "LGPL-2.1", "CC0-1.0")},
+        "It isn't Licensed under the MIT License. Or is it?": (False, ""),
+    }
+    got = {r["doc_id"]: (r["is_license"], r["licenses"]) for r in rows(licenses.licenses(table(spark, list(want))))}
+    for i, (text, found) in enumerate(want.items()):
+        assert got[i] == found, (text[:200], got[i])
+
+
+def test_licenses_cost_grows_with_the_text(spark):
+    def seconds(n):
+        docs = table(spark, ["Permission is hereby granted, free of charge, to the software is provided by " * n])
+        began = time.perf_counter()
+        assert rows(licenses.licenses(docs))[0]["licenses"] == ""
+        return time.perf_counter() - began
+
+    seconds(10)
+    small, large = seconds(5_000), seconds(20_000)
+    assert large < 10 * max(small, 1)
+
+
 def test_licenses_odd(odd):
     assert len(rows(licenses.licenses(odd))) == 12
 
