@@ -9,9 +9,17 @@ until none is new. Every layer
 keeps, for each of its characters, the stretch of the document that it stands for, so that a find
 in any layer is a span of the document.
 
+Base64 is read at all four offsets of a run, as a run may begin inside a path or a word, and bytes
+as UTF-8 and UTF-16. Compressed data is inflated as a stream; what exceeds ``WINDOW`` bytes is
+scanned window by window, each with the last ``OVERLAP`` bytes of the one before. All its finds
+stand for one stretch of the document, so one cut by a window's border is found in either part;
+only encoded data inside it that is itself longer than the overlap may be cut.
+
 Cases: a null text counts as empty and has no spans; repeated rows stay; texts of any length are
-scanned whole; only the named columns are read. Compressed data that inflates beyond
-``MOST_INFLATED`` bytes (a decompression bomb) is not opened and counted in ``unopened``.
+scanned whole; only the named columns are read. All that a document's layers inflate to is scanned
+up to ``RATIO`` bytes for each of its characters (more than deflated data can hold, read in every
+way) and ``WINDOW`` bytes beside; only decompression bombs, nested or of other kinds, exceed it,
+and ``unopened`` counts the layers that were left there.
 """
 
 from __future__ import annotations
@@ -19,8 +27,11 @@ from __future__ import annotations
 import base64
 import binascii
 import codecs
+import hashlib
 import re
 from collections.abc import Iterator
+from html.entities import html5
+from itertools import chain
 from urllib.parse import unquote_to_bytes
 
 from pyspark.sql import Column, DataFrame
@@ -35,7 +46,7 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 #: A mark that is itself escaped, once or many times over, is undone with what it marks: one layer, not one for each time.
 PERCENT_UNIT, UNICODE_UNIT = re.compile(r"%(?:25)*([0-9A-Fa-f]{2})"), re.compile(r"\\(?:u005[cC])*u([0-9A-Fa-f]{4})")
 PERCENT = re.compile(r"(?:%(?:25)*[0-9A-Fa-f]{2})+")
-UNICODE = re.compile(r"(?:\\(?:u005[cC])*u[0-9A-Fa-f]{4})+|\\u\{[0-9A-Fa-f]{1,6}\}|\\U[0-9A-Fa-f]{8}|(?:\\x[0-9A-Fa-f]{2})+|&(?:#38;|#[xX]26;)*#(?:[0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});")
+UNICODE = re.compile(r"(?:\\(?:u005[cC])*u[0-9A-Fa-f]{4})+|\\u\{[0-9A-Fa-f]{1,6}\}|\\U[0-9A-Fa-f]{8}|(?:\\x[0-9A-Fa-f]{2})+|&(?:#38;|#[xX]26;|amp;)*(?:#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});")
 BASE64 = re.compile(r"[A-Za-z0-9+/]{16,}={0,2}")
 BASE64_URL = re.compile(r"[A-Za-z0-9_-]{16,}={0,2}")
 #: Tried at the start of a run only and never given back, so that a long run is read once.
@@ -43,10 +54,13 @@ WRAPPED = re.compile(r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{16,}+(?:\r?\n[ \t]*+[A-Za
 WRAPPED_URL = re.compile(r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{16,}+(?:\r?\n[ \t]*+[A-Za-z0-9_-]++)++={0,2}")
 #: Escaped bytes with the plain characters around them, as escapes are written only where needed.
 PERCENT_BYTES, ESCAPED_BYTES = re.compile(r"[!-~]+"), re.compile(r"[ -~]+")
-#: How compressed data starts; what bytes without any secret or further layer lack.
+#: How compressed data starts; what bytes without any secret or further layer lack (the shortest have 12 such characters in a row), in UTF-16 too.
 MAGIC = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9]1AY&SY|\xfd7zXZ\x00|\x28\xb5\x2f\xfd")
 SHOWN = re.compile(rb"[\t\r\n -~]{8}")
-MOST_INFLATED = 64 << 20
+WIDE = (("utf-16-le", re.compile(rb"(?:[\t\r\n -~]\x00){8}")), ("utf-16-be", re.compile(rb"(?:\x00[\t\r\n -~]){8}")))
+ZEROS = re.compile(rb"\x00*")
+#: Inflated bytes in a piece of the stream, in a window, and common to two windows; inflated bytes for each character of a document.
+PIECE, WINDOW, OVERLAP, RATIO = 1 << 20, 16 << 20, 1 << 20, 4096
 
 SPANS = "doc_id {kind}, spans array<struct<kind: string, start: long, end: long, base: boolean, layer: string>>, unopened int"
 
@@ -65,42 +79,46 @@ def scan(text: str) -> Iterator[tuple[str, int, int]]:
 
 
 class Layer:
-    """A text, and for each of its characters the stretch of the document it stands for."""
+    """A text, and for each of its characters, or for all of them, the stretch of the document it stands for."""
+
+    def __init__(self, text: str, starts: list[int] | None = None, ends: list[int] | None = None, name: str = "", whole: tuple[int, int] | None = None):
+        self.text, self.starts, self.ends, self.name, self.whole = text, starts, ends, name, whole
 
-    def __init__(self, text: str, starts: list[int] | None = None, ends: list[int] | None = None, name: str = ""):
-        self.text, self.starts, self.ends, self.name = text, starts, ends, name
+    @property
+    def base(self) -> bool:
+        return self.starts is None and self.whole is None
 
     def span(self, start: int, end: int) -> tuple[int, int]:
-        return (start, end) if self.starts is None else (self.starts[start], self.ends[end - 1])
+        return self.whole or ((start, end) if self.starts is None else (self.starts[start], self.ends[end - 1]))
 
     def replaced(self, pattern: re.Pattern, decode, name: str) -> Layer | None:
         """The layer with each match that ``decode`` accepts put into plain characters."""
         parts, starts, ends, last = [], [], [], 0
+
+        def mapped(first: int, end: int, length: int | None = None) -> None:
+            """The characters of a stretch stand for themselves, or ``length`` new ones for all of it."""
+            if self.whole is None:
+                each = [self.span(i, i + 1) for i in range(first, end)] if length is None else [self.span(first, end)] * length
+                starts.extend(a for a, _ in each)
+                ends.extend(b for _, b in each)
+
         for m in pattern.finditer(self.text):
             pieces = decode(m[0])
             if pieces is None:
                 continue
             parts.append(self.text[last : m.start()])
-            for i in range(last, m.start()):
-                a, b = self.span(i, i + 1)
-                starts.append(a)
-                ends.append(b)
+            mapped(last, m.start())
             at = m.start()
             for chars, width in pieces:
-                a, b = self.span(at, at + width)
                 parts.append(chars)
-                starts += [a] * len(chars)
-                ends += [b] * len(chars)
+                mapped(at, at + width, len(chars))
                 at += width
             last = m.end()
         if not parts:
             return None
         parts.append(self.text[last:])
-        for i in range(last, len(self.text)):
-            a, b = self.span(i, i + 1)
-            starts.append(a)
-            ends.append(b)
-        return Layer("".join(parts), starts, ends, f"{self.name}/{name}")
+        mapped(last, len(self.text))
+        return Layer("".join(parts), starts, ends, f"{self.name}/{name}", self.whole)
 
 
 def characters(data: bytes) -> list[tuple[str | None, int]]:
@@ -123,8 +141,13 @@ def percent_pieces(run: str) -> list[tuple[str, int]] | None:
 
 def unicode_pieces(run: str) -> list[tuple[str, int]] | None:
     if run[0] == "&":
-        code = run[run.rindex("#") + 1 : -1]
-        found = [(int(code[1:], 16) if code[0] in "xX" else int(code), len(run))]
+        name = run[:-1].rpartition(";")[2].lstrip("&")
+        if name[0] != "#":
+            marks = len(run) - len(name) - 1
+            if chars := html5.get(f"{name};"):
+                return [(chars, len(run))]
+            return [("&", marks), (f"{name};", len(name) + 1)] if marks > 1 else None
+        found = [(int(name[2:], 16) if name[1] in "xX" else int(name[1:]), len(run))]
     elif run[1] == "x":
         try:
             return [(c, 4 * len(c.encode())) for c in bytes.fromhex(run.replace("\\x", "")).decode()]
@@ -147,10 +170,6 @@ def unicode_pieces(run: str) -> list[tuple[str, int]] | None:
     return [(chr(code), width) for code, width in found]
 
 
-class Bomb(Exception):
-    pass
-
-
 def machine_for(data: bytes):
     """A decompressor for how the data starts; None if it isn't compressed."""
     import bz2
@@ -168,52 +187,71 @@ def machine_for(data: bytes):
     return None
 
 
-def unframed(data: bytes) -> bytes:
-    """What the frames of zstd data hold, as far as they are sound."""
+def unframed(data: bytes) -> Iterator[bytes]:
+    """Pieces of what the frames of zstd data hold, as far as they are sound."""
     import zstandard
 
-    out = bytearray()
     reader = zstandard.ZstdDecompressor().stream_reader(data, read_across_frames=True)
     try:
-        while part := reader.read(1 << 16):
-            out += part
-            if len(out) > MOST_INFLATED:
-                raise Bomb
+        while part := reader.read(PIECE):
+            yield part
     except zstandard.ZstdError:
         pass
-    return bytes(out)
 
 
-def inflated(data: bytes) -> bytes | None:
-    """What gzip, zlib, bzip2, xz or zstd data holds, all members and what follows them, as far as it is sound; None if it is none of them."""
+def inflated(data: bytes) -> Iterator[bytes]:
+    """Pieces of what gzip, zlib, bzip2, xz or zstd data holds, all members and what follows them, as far as it is sound; none if it is none of them."""
     if data[:4] == b"\x28\xb5\x2f\xfd":
-        return unframed(data) or None
-    out = bytearray()
-    members = 0
-    while data and (machine := machine_for(data)) is not None:
-        before, ended = len(out), False
+        yield from unframed(data)
+        return
+    at, members = 0, 0
+    while at < len(data) and (machine := machine_for(data[at : at + 16])) is not None:
+        got = False
         try:
-            for at in range(0, len(data), 4096):
+            while at < len(data) and not machine.eof:
                 chunk = data[at : at + 4096]
+                at += len(chunk)
                 while True:
-                    out += machine.decompress(chunk, MOST_INFLATED + 1 - len(out))
-                    if len(out) > MOST_INFLATED:
-                        raise Bomb
+                    part = machine.decompress(chunk, PIECE)
+                    if part:
+                        got = True
+                        yield part
                     chunk = getattr(machine, "unconsumed_tail", b"")
-                    if not chunk or machine.eof:
+                    if machine.eof or not (chunk or len(part) == PIECE or not getattr(machine, "needs_input", True)):
                         break
-                if machine.eof:
-                    data, ended = machine.unused_data + data[at + 4096 :], True
-                    break
-        except Bomb:
-            raise
         except Exception:  # unsound from here on
-            pass
-        members += ended or len(out) > before
-        if not ended:
-            return bytes(out) if members else None
-        data = data.lstrip(b"\0")
-    return bytes(out) + data if members else None
+            return
+        members += machine.eof or got
+        if not machine.eof:
+            return
+        at = ZEROS.match(data, at - len(machine.unused_data)).end()
+    if members and at < len(data):
+        yield data[at:]
+
+
+class Budget:
+    """The bytes that a document's layers may still inflate to, and how many layers were left for want of them."""
+
+    def __init__(self, text: str):
+        self.left, self.unopened = WINDOW + RATIO * len(text), 0
+
+
+def windows(pieces: Iterator[bytes], budget: Budget) -> Iterator[bytes]:
+    """The pieces joined to windows that share the overlap."""
+    window, new = bytearray(), False
+    for piece in pieces:
+        budget.left -= len(piece)
+        if budget.left < 0:
+            budget.unopened += 1
+            break
+        window += piece
+        new = True
+        if len(window) >= WINDOW:
+            yield bytes(window)
+            del window[:-OVERLAP]
+            new = False
+    if new:
+        yield bytes(window)
 
 
 def begins(data: bytes, at: int, enough: int = 4096) -> bool:
@@ -240,20 +278,38 @@ class Bytes:
     def __init__(self, data: bytes, span: tuple[int, int], name: str, each=None):
         self.data, self.whole, self.name, self.each = data, span, name, each
 
-    def opened(self) -> Bytes | Layer | None:
-        unpacked = inflated(self.data)
-        if unpacked is not None:
-            return Bytes(unpacked, self.whole, f"{self.name}/compressed")
-        if not SHOWN.search(self.data):
-            return None
-        chars, starts, ends, at = [], [], [], 0
-        for c, n in characters(self.data):
-            a, b = self.each(at, at + n) if self.each else self.whole
-            chars.append("\ufffd" if c is None else c)
+    def opened(self, budget: Budget) -> list[Layer | Iterator[Bytes]]:
+        pieces = inflated(self.data)
+        first = next(pieces, None)
+        if first is not None:
+            return [self.inside(chain((first,), pieces), budget)]
+        found = []
+        if SHOWN.search(self.data):
+            found.append(self.layer("utf-8", 0, self.name))
+        for encoding, pattern in WIDE:
+            for odd in sorted({m.start() % 2 for m in pattern.finditer(self.data)}):
+                found.append(self.layer(encoding, odd, f"{self.name}/{encoding}"))
+        return found
+
+    def inside(self, pieces: Iterator[bytes], budget: Budget) -> Iterator[Bytes]:
+        for window in windows(pieces, budget):
+            yield Bytes(window, self.whole, f"{self.name}/compressed")
+
+    def layer(self, encoding: str, at: int, name: str) -> Layer:
+        """The text of the bytes from a place on."""
+        if self.each is None:
+            return Layer(self.data[at:].decode(encoding, "replace"), name=name, whole=self.whole)
+        if encoding == "utf-8":
+            chars = [("\ufffd" if c is None else c, n) for c, n in characters(self.data[at:])]
+        else:
+            chars = [(c, 4 if c > "\uffff" else 2) for c in self.data[at:].decode(encoding, "replace")]
+        starts, ends = [], []
+        for _, n in chars:
+            a, b = self.each(at, min(at + n, len(self.data)))
             starts.append(a)
             ends.append(b)
             at += n
-        return Layer("".join(chars), starts, ends, self.name)
+        return Layer("".join(c for c, _ in chars), starts, ends, name)
 
 
 def base64_runs(text: str) -> Iterator[tuple[list[int] | range, str, bytes | None]]:
@@ -285,20 +341,26 @@ def base64_runs(text: str) -> Iterator[tuple[list[int] | range, str, bytes | Non
 
 
 def base64_layers(layer: Layer) -> Iterator[Bytes]:
-    """The bytes of each run."""
-    for places, run, other in base64_runs(layer.text):
-        body = run.rstrip("=")
-        if len(body) % 4 == 1:
-            body = body[:-1]
-        try:
-            data = base64.b64decode(body + "=" * (-len(body) % 4), altchars=other)
-        except (binascii.Error, ValueError):
-            continue
+    """The bytes of each run at each offset, and compressed data inside them."""
+    for all_places, run, other in base64_runs(layer.text):
+        for offset in range(4):
+            places, body = all_places[offset:], run[offset:].rstrip("=")
+            if len(body) % 4 == 1:
+                body = body[:-1]
+            try:
+                data = base64.b64decode(body + "=" * (-len(body) % 4), altchars=other)
+            except (binascii.Error, ValueError):
+                continue
 
-        def each(at: int, end: int, places=places, length=len(body)) -> tuple[int, int]:
-            return layer.span(places[at * 4 // 3], places[min(length, -(end * 4 // -3)) - 1] + 1)
+            def each(at: int, end: int, places=places, length=len(body)) -> tuple[int, int]:
+                return layer.span(places[at * 4 // 3], places[min(length, -(end * 4 // -3)) - 1] + 1)
 
-        yield Bytes(data, layer.span(places[0], places[-1] + 1), f"{layer.name}/base64", each)
+            span = layer.span(places[0], places[-1] + 1)
+            yield Bytes(data, span, f"{layer.name}/base64", each)
+            if machine_for(data) is None:
+                for start in MAGIC.finditer(data, 1):
+                    if begins(data, start.start()):
+                        yield Bytes(data[start.start() :], span, f"{layer.name}/base64")
 
 
 def escaped_layers(layer: Layer) -> Iterator[Bytes]:
@@ -318,40 +380,46 @@ def escaped_layers(layer: Layer) -> Iterator[Bytes]:
 
 
 def find(text: str) -> tuple[list[tuple[str, int, int, bool, str]], int]:
-    """All spans of one document, sorted, and the number of bombs left unopened."""
+    """All spans of one document, sorted, and the number of layers not opened to their end."""
     found: dict[tuple[int, int, int], tuple[bool, str]] = {}
-    work: list[Layer | Bytes] = [Layer(text)]
-    seen: set[tuple[str | bytes, int, int]] = {(text, 0, len(text))}
-    bombs = 0
+    work: list[Layer | Bytes | Iterator[Bytes]] = [Layer(text)]
+    seen: set[tuple[bytes, int, int]] = set()
+    budget = Budget(text)
     while work:
         layer = work.pop()
         if isinstance(layer, Bytes):
-            try:
-                new = [layer.opened()]
-            except Bomb:
-                bombs += 1
-                continue
+            new = layer.opened(budget)
+        elif not isinstance(layer, Layer):
+            # the next window, with all its layers, before the one after it
+            new = [next(layer, None)]
+            if new[0] is not None:
+                work.append(layer)
         else:
             for kind, start, end in scan(layer.text):
                 a, b = layer.span(start, end)
                 key = (a, KINDS.index(kind), b)
-                if key not in found or layer.starts is None:
-                    found[key] = (layer.starts is None, layer.name)
+                if key not in found or layer.base:
+                    found[key] = (layer.base, layer.name)
             new = []
             if "%" in layer.text:
                 new.append(layer.replaced(PERCENT, percent_pieces, "url"))
-            if "\\" in layer.text or "&#" in layer.text:
+            if "\\" in layer.text or "&" in layer.text:
                 new.append(layer.replaced(UNICODE, unicode_pieces, "unicode"))
             new += base64_layers(layer)
             new += escaped_layers(layer)
         for x in new:
-            if x is None:
+            if isinstance(x, Bytes):
+                key = (hashlib.blake2b(x.data).digest(), *x.whole)
+            elif isinstance(x, Layer):
+                key = (hashlib.blake2b(x.text.encode("utf-8", "surrogatepass"), person=b"text").digest(), *(x.span(0, len(x.text)) if x.text else (0, 0)))
+            else:
+                if x is not None:
+                    work.append(x)
                 continue
-            content, place = (x.data, x.whole) if isinstance(x, Bytes) else (x.text, x.span(0, len(x.text)) if x.text else (0, 0))
-            if (content, *place) not in seen:
-                seen.add((content, *place))
+            if key not in seen:
+                seen.add(key)
                 work.append(x)
-    return [(KINDS[k], a, b, base, name) for (a, k, b), (base, name) in sorted(found.items())], bombs
+    return [(KINDS[k], a, b, base, name) for (a, k, b), (base, name) in sorted(found.items())], budget.unopened
 
 
 def secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

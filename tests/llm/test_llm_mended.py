@@ -1,5 +1,6 @@
 """Shapes that once hung, and repeated rows in a mix."""
 
+import base64
 import time
 from collections import Counter
 
@@ -12,7 +13,7 @@ DOCS = "doc_id long, text string, lang string, source string"
 SHAPES = {
     "wrapped run": lambda n: "a\n" + "Ab3d" * (n // 4), "wrapped run, url": lambda n: "a\n" + "Ab-_" * (n // 4), "zlib marks": lambda n: "%41" + "x^" * (n // 2), "gzip marks": lambda n: "%41" + "%1f%8b%08" * (n // 9),
     "zstd marks": lambda n: "%41" + "%28%b5%2f%fd" * (n // 12), "bzip2 marks": lambda n: "%41" + "BZh91AY&SY" * (n // 10), "percent of percent": lambda n: "%" + "25" * (n // 2), "entity of entity": lambda n: "&" + "#38;" * (n // 4),
-    "backslash of backslash": lambda n: "\\" + "u005c" * (n // 5), "percents": lambda n: "%41%42" * (n // 6), "entities": lambda n: "&#65;" * (n // 5),
+    "backslash of backslash": lambda n: "\\" + "u005c" * (n // 5), "percents": lambda n: "%41%42" * (n // 6), "named of named": lambda n: "&" + "amp;" * (n // 4), "base64 zlib marks": lambda n: base64.b64encode(b"x^" * (n // 2)).decode(), "entities": lambda n: "&#65;" * (n // 5),
 }
 
 

@@ -233,11 +233,35 @@ def test_secrets_in_byte_layers(name):
     assert all(len(before) < s[1] < s[2] <= len(before) + 1 + len(BYTE_LAYERS[name]) for s in hits)
 
 
-def test_secrets_end_on_cycles_and_bombs():
+def test_secrets_end_on_cycles_and_bombs(monkeypatch):
     layer = "%2525252525252541 token%3Dabcdef12345"
     assert any(s[0] == "assign" for s in secrets.find(layer)[0])
-    bomb = base64.b64encode(zlib.compress(b"a" * (secrets.MOST_INFLATED + 10), 9)).decode()
-    assert secrets.find(bomb)[1] == 1
+    monkeypatch.setattr(secrets, "WINDOW", 1 << 20)
+    monkeypatch.setattr(secrets, "OVERLAP", 1 << 14)
+    monkeypatch.setattr(secrets, "PIECE", 1 << 16)
+    # over several windows, with what a border cuts
+    filler = b"a " * (secrets.WINDOW // 2 - 7)
+    for data in (filler + b" password=abcdef12 " + filler, filler * 3 + b" token=abcdef12"):
+        large = base64.b64encode(zlib.compress(data, 9)).decode()
+        spans, unopened = secrets.find(f"before {large}")
+        assert unopened == 0 and [x[:3] for x in spans] == [("assign", 7, 7 + len(large))]
+    bomb = base64.b64encode(lzma.compress(lzma.compress(bytes(1 << 28)))).decode()
+    assert len(bomb) < 10_000 and secrets.find(bomb)[1] == 1
+
+
+@pytest.mark.parametrize("prefix", ["https://example.com/cb/", "https://example.com/a/", "data", "x+", "a/b/c/d/", "word_"])
+def test_secrets_in_base64_after_other_characters(prefix):
+    secret = "password=abcdef12"
+    for data in (f"some {secret} here".encode(), f"some {secret} here".encode("utf-16-le"), f"ä {secret}".encode("utf-16"), gzip.compress(secret.encode() * 3, mtime=0)):
+        run = base64.b64encode(data).decode()
+        spans, _ = secrets.find(f"see {prefix}{run} there")
+        assert any(k == "assign" and a < 4 + len(prefix) + len(run) and b > 4 + len(prefix) for k, a, b, _, _ in spans), data
+
+
+def test_secrets_in_named_references():
+    text = "a &amp; password&equals;abcdef12, token&amp;amp;equals;abcdef12 &amp;none; &none;"
+    assert [text[a:b] for _, a, b, _, _ in secrets.find(text)[0]] == ["password&equals;abcdef12", "token&amp;amp;equals;abcdef12"]
+    assert secrets.unicode_pieces("&amp;none;") == [("&", 5), ("none;", 5)] and secrets.unicode_pieces("&none;") is None
 
 
 def test_secrets_odd(odd):
